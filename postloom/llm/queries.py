@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postloom.llm.canonical import map_values, place_entries
 from postloom.llm.lookalikes import consistent_texts, odd_texts
+from postloom.operators.joins import sized_join
 from postloom.sources.tables import table
 
 
@@ -28,5 +30,23 @@ def p6_texts(spark: SparkSession, folder: str) -> DataFrame:
     return consistent_texts(job_texts(spark, folder), "text")
 
 
-QUERIES = {"p6_found": p6_found, "p6_texts": p6_texts}
+def typed_values(spark: SparkSession, folder: str) -> DataFrame:
+    """(job_id, kind, pos, text): every label of source_jobs.locations and value of location_resolutions.countries."""
+    labels = table(spark, folder, "source_jobs").select("job_id", F.lit("locations").alias("kind"), F.posexplode("locations").alias("i", "text"))
+    values = table(spark, folder, "location_resolutions").select("job_id", F.lit("countries").alias("kind"), F.posexplode("countries").alias("i", "text"))
+    return labels.unionByName(values).select("job_id", "kind", (F.col("i") + 1).alias("pos"), "text")
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The elements that are not exactly a name of one place or a country code, with the entry they mean."""
+    places, countries = table(spark, folder, "places"), table(spark, folder, "countries")
+    exact = places.groupBy(F.col("name").alias("text")).agg(F.count_distinct("place_id").alias("n")).where("n = 1").select(F.lit("locations").alias("kind"), "text")
+    exact = exact.unionByName(countries.select(F.lit("countries").alias("kind"), F.col("country_code").alias("text"))).distinct().withColumn("exact", F.lit(True))
+    cases = sized_join(typed_values(spark, folder), exact, ["kind", "text"], "left", spread_by="job_id").where("exact is null").drop("exact")
+    meant = map_values(cases, place_entries(places, countries)).select("kind", "text", "ref").where("ref is not null")
+    found = cases.join(meant, ["kind", "text"], "left")
+    return found.select("job_id", F.col("kind").alias("field_name"), "pos", F.coalesce("ref", F.lit("none")).alias("ref"))
+
+
+QUERIES = {"p3_found": p3_found, "p6_found": p6_found, "p6_texts": p6_texts}
 ORACLES: dict[str, str] = {}
