@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postloom.llm.canonical import map_values, place_entries
 from postloom.llm.lookalikes import consistent_texts, odd_texts
+from postloom.llm.neardup import components, similar_pairs
 from postloom.operators.joins import sized_join
 from postloom.sources.tables import table
 
@@ -30,6 +31,22 @@ def p6_texts(spark: SparkSession, folder: str) -> DataFrame:
     return consistent_texts(job_texts(spark, folder), "text")
 
 
+def _postings(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "source_jobs").select(F.col("job_id").alias("id"), F.col("description").alias("text"), "title")
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = similar_pairs(_postings(spark, folder))
+    return pairs.select(F.col("id_a").alias("job_id_a"), F.col("id_b").alias("job_id_b"))
+
+
+def p2_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Every posting with a description, the group of reworked copies it is in and its number of links."""
+    postings = _postings(spark, folder)
+    groups = components(postings.where("text is not null"), similar_pairs(postings))
+    return groups.select(F.col("id").alias("job_id"), F.col("group").alias("group_id"), "n_links")
+
+
 def typed_values(spark: SparkSession, folder: str) -> DataFrame:
     """(job_id, kind, pos, text): every label of source_jobs.locations and value of location_resolutions.countries."""
     labels = table(spark, folder, "source_jobs").select("job_id", F.lit("locations").alias("kind"), F.posexplode("locations").alias("i", "text"))
@@ -48,5 +65,5 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("job_id", F.col("kind").alias("field_name"), "pos", F.coalesce("ref", F.lit("none")).alias("ref"))
 
 
-QUERIES = {"p3_found": p3_found, "p6_found": p6_found, "p6_texts": p6_texts}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p6_found": p6_found, "p6_texts": p6_texts}
 ORACLES: dict[str, str] = {}
