@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 from postloom.llm.canonical import map_values, place_entries
 from postloom.llm.lookalikes import consistent_texts, odd_texts
+from postloom.llm.mixing import mix_documents, mix_report
 from postloom.llm.neardup import components, similar_pairs
+from postloom.llm.packing import pack_documents, pack_report
+from postloom.llm.sentences import sentence_units
+from postloom.llm.tokens import sized_documents
 from postloom.operators.joins import sized_join
+from postloom.session import checkpoint_ready
 from postloom.sources.tables import table
 
 
@@ -65,5 +70,42 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("job_id", F.col("kind").alias("field_name"), "pos", F.coalesce("ref", F.lit("none")).alias("ref"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p6_found": p6_found, "p6_texts": p6_texts}
+def p9_units(spark: SparkSession, folder: str) -> DataFrame:
+    return sentence_units(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    units = sentence_units(table(spark, folder, "documents").select("doc_id", "text"), keep_text=False)
+    return units.select("doc_id", "start_pos", "end_pos")
+
+
+def _pack_sizes(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    return [(r.pack_name, r.capacity_tokens) for r in table(spark, folder, "pack_sizes").orderBy("capacity_tokens").collect()]
+
+
+def p7_packs(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = sized_documents(table(spark, folder, "documents").select("doc_id", "text"))
+    return pack_documents(sizes, _pack_sizes(spark, folder))
+
+
+def p7_report(spark: SparkSession, folder: str) -> DataFrame:
+    packs = _pack_sizes(spark, folder)
+    checkpoint_ready(spark)
+    return pack_report(p7_packs(spark, folder).checkpoint(), packs)
+
+
+def p8_mixes(spark: SparkSession, folder: str) -> DataFrame:
+    checkpoint_ready(spark)
+    sizes = sized_documents(table(spark, folder, "documents").select("doc_id", "source", "text")).checkpoint()
+    return mix_documents(sizes, table(spark, folder, "mix_targets"))
+
+
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    checkpoint_ready(spark)
+    sizes = sized_documents(table(spark, folder, "documents").select("doc_id", "source", "text")).checkpoint()
+    targets = table(spark, folder, "mix_targets")
+    return mix_report(mix_documents(sizes, targets), sizes, targets)
+
+
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p6_found": p6_found, "p6_texts": p6_texts, "p7_packs": p7_packs, "p7_report": p7_report, "p8_mixes": p8_mixes, "p8_report": p8_report, "p9_found": p9_found, "p9_units": p9_units}
 ORACLES: dict[str, str] = {}
