@@ -74,9 +74,9 @@ _MASKS = [
     rf"(?m)(?<=^[ \t]{{0,12}}\d{{1,3}})\.(?=[ \t ])",
     rf"(?<=(?<![{_WORD}{_DOT}.])\p{{Lu}})\.(?={_WS}+\p{{Lu}})",
     rf"(?<=(?<![{_WORD}{_DOT}])\p{{L}})\.(?={_WS}?\p{{L}}[.{_DOT}])",
-    rf"(?<=(?<![{_WORD}{_DOT}])(?:{_any(NEVER_LAST)}))\.",
-    rf"(?<=(?<![{_WORD}{_DOT}])(?:{_any(_INNER)}))\.",
-    rf"(?<=(?<![{_WORD}{_DOT}])(?:{_any(BEFORE_NUMBER)}))\.(?={_WS}*\d)",
+    rf"\.(?<=(?<![{_WORD}{_DOT}])(?:{_any(NEVER_LAST)})\.)",
+    rf"\.(?<=(?<![{_WORD}{_DOT}])(?:{_any(_INNER)})\.)",
+    rf"\.(?={_WS}*\d)(?<=(?<![{_WORD}{_DOT}])(?:{_any(BEFORE_NUMBER)})\.)",
     rf"(?<=\d)\.(?={_WS}+(?:{'|'.join(AFTER_ORDINAL)})(?![{_WORD}]))",
     rf"(?<=^|\n)\.(?=\p{{L}})",
 ]
@@ -91,10 +91,10 @@ _WIDE = "[。！？｡]"
 _SPLITS = [
     rf"(?={_BLANK})(?<!\n[ \t \r]{{0,9}})",
     rf"(?=\n[ \t]*(?:[-*•·▪◦‣–]|\d{{1,3}}[.){_DOT}]|\(\d{{1,3}}\))[ \t {_GAP}])",
-    rf"(?<={_END})(?={_WS})(?!{_GOES_ON})",
+    rf"(?={_WS})(?<![{_WORD},])(?<={_END})(?!{_GOES_ON})",
     rf"(?<=\p{{Ll}}[.?!])(?={_TIGHT})",
-    rf"(?<={_WIDE}{_SHUT}{{0,4}})(?!{_WIDE}|{_SHUT}|{_WS}*$)",
-    rf"(?<=[{_CJK}][!?]{_SHUT}{{0,3}})(?=[{_CJK}「『（“])",
+    rf"(?<=[。！？｡\"'”’»)\]」』）])(?<={_WIDE}{_SHUT}{{0,4}})(?!{_WIDE}|{_SHUT}|{_WS}*$)",
+    rf"(?<=[!?\"'”’»)\]」』）])(?<=[{_CJK}][!?]{_SHUT}{{0,3}})(?=[{_CJK}「『（“])",
     r"(?<=[฀-๿])(?=[  \n]+[฀-๿])",
 ]
 _BOUNDARY = "|".join(f"(?:{s})" for s in _SPLITS)
