@@ -127,8 +127,9 @@ def split_packed(
     """``rows`` with one row per value of ``text``: ``pos`` (from 1) and ``piece`` are added; see :func:`packed_values`.
 
     Rows with fewer than ``least`` values (null and blank texts have none) give no row. Repeated rows stay repeated, extra
-    columns stay; ``pos`` and ``piece`` must not occur in ``rows``. No shuffle.
+    columns stay, but columns named ``pos`` or ``piece`` are replaced. No shuffle.
     """
-    values = rows.withColumn("_values", packed_values(F.col(text), compounds=compounds, qualifiers=qualifiers))
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in ("pos", "piece")]).alias("_row")
+    values = rows.select(row, packed_values(F.col(text), compounds=compounds, qualifiers=qualifiers).alias("_values"))
     kept = values.where(F.size("_values") >= least)
-    return kept.select(*rows.columns, F.posexplode("_values").alias("_i", "piece")).withColumn("pos", F.col("_i") + 1).drop("_i")
+    return kept.select("_row", F.posexplode("_values").alias("_i", "piece")).select("_row.*", (F.col("_i") + 1).alias("pos"), "piece")

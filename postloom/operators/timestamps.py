@@ -167,7 +167,7 @@ def to_utc(
     first is meant; a skipped local time moves on by the skip. A bare day is its midnight UTC.
 
     ``out`` is null for null, empty and unreadable texts, for days and clock times that do not exist. Repeated rows stay,
-    extra columns stay (names beginning with ``_`` are used inside and must not occur), empty tables stay empty. ``zones``
+    extra columns stay whatever their names (a column named ``out`` is replaced), empty tables stay empty. ``zones``
     bounds the zone names of the interval table (default: all IANA names, about 600).
 
     No shuffle: the interval table is bounded by zone names times years and is broadcast.
@@ -175,8 +175,10 @@ def to_utc(
     import zoneinfo
 
     spark = values.sparkSession
-    steps = parse_written(F.col(text), F.coalesce(F.col(month_first), F.lit(False)))
-    parsed = values.withColumn("_w", steps["_w"]).withColumn("_epoch", steps["_epoch"]).withColumn("_p", steps["_p"])
+    steps = parse_written(F.col("_text"), F.coalesce(F.col("_first"), F.lit(False)))
+    row = F.struct(*[F.col(f"`{c}`") for c in values.columns if c != out]).alias("_row")
+    parsed = values.select(row, F.col(text).alias("_text"), F.col(zone).alias("_zone"), F.col(month_first).alias("_first"))
+    parsed = parsed.withColumn("_w", steps["_w"]).withColumn("_epoch", steps["_epoch"]).withColumn("_p", steps["_p"])
     parsed = parsed.withColumn("_day", steps["_day"]).withColumn("_h", steps["_h"]).withColumn("_local", steps["_local"])
     said = F.col("_p.zone")
     offset = r"^(?:UTC|GMT)?([+\-−])(\d{1,2}):?(\d{2})?"
@@ -185,11 +187,11 @@ def to_utc(
     named = F.regexp_extract(said, r"([A-Z][A-Za-z_]+/[A-Za-z_+\-0-9/]+)", 1)
     parsed = parsed.withColumn(
         "_stated",
-        F.when(said.rlike(offset), minutes).when(said.isNotNull() & (named == ""), _letters_offset(F.upper(said), F.coalesce(F.col(zone), F.lit("")))),
+        F.when(said.rlike(offset), minutes).when(said.isNotNull() & (named == ""), _letters_offset(F.upper(said), F.coalesce(F.col("_zone"), F.lit("")))),
     )
     unread = said.isNotNull() & F.col("_stated").isNull() & (named == "")
     parsed = parsed.withColumn("_unread", F.coalesce(unread, F.lit(False))).withColumn(
-        "zone_id", F.when((named != "") & F.col("_stated").isNull(), named).otherwise(F.coalesce(F.col(zone), F.lit("UTC")))
+        "zone_id", F.when((named != "") & F.col("_stated").isNull(), named).otherwise(F.coalesce(F.col("_zone"), F.lit("UTC")))
     )
     year = F.least(F.greatest(F.col("_p.y"), F.lit(FIRST_YEAR)), F.lit(LAST_YEAR))
     parsed = parsed.withColumn("local_year", F.when(F.col("_stated").isNull() & ~F.col("_unread"), year))
@@ -206,6 +208,4 @@ def to_utc(
     )
     moment = F.when(~F.col("_unread"), F.col("_local") - seconds.cast("bigint") * 1000000)
     instant = F.coalesce(F.col("_epoch"), F.when(F.col("_p.h").isNull(), F.col("_day") * F.lit(86400000000)).otherwise(moment))
-    return joined.withColumn(out, instant).drop(
-        "_w", "_epoch", "_p", "_day", "_h", "_local", "_stated", "_unread", "zone_id", "local_year", "spans", "_hit"
-    )
+    return joined.select("_row.*", instant.alias(out))

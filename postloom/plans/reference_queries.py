@@ -434,3 +434,48 @@ def provider_records(spark: SparkSession, folder: str) -> DataFrame:
     r = F.col("record")
     place = F.coalesce(F.get(r["locations"], F.lit(0)), F.lit(""))
     return made.select("job_id", "source", r["uid"].alias("uid"), r["title"].alias("title"), r["url"].alias("url"), place.alias("place"), r["posted_at"].alias("posted_at"), "posted_precision", "error")
+
+
+def _label_sql() -> str:
+    from postloom.operators import locations as loc
+
+    plain, accents = loc._ACCENTS[1], loc._ACCENTS[0]
+    fold = lambda x: rf"trim(regexp_replace(regexp_replace(regexp_replace(translate(lower({x}), '{accents}', '{plain}'), '&', ' and ', 'g'), '[.''’`]', '', 'g'), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+    scopes = ", ".join(f"'{s}'" for s in loc.SCOPES)
+    short = ", ".join(f"('{k}', '{v}')" for k, v in loc.SHORT.items())
+    words = f"(?:{loc.REMOTE})"
+    return rf"""
+WITH l AS (SELECT DISTINCT label FROM (SELECT unnest(locations) AS label FROM source_jobs)),
+names AS (SELECT {fold('n')} AS norm, 'country' AS kind, code FROM (SELECT unnest([name, lower(iso3_code)] || coalesce(other_names, [])) AS n, country_code AS code FROM countries)
+ UNION ALL SELECT w, 'country', c FROM (VALUES {short}) v(w, c)
+ UNION ALL SELECT lower(region_code), 'region', country_code FROM places
+ UNION ALL SELECT {fold('n')}, 'place', code FROM (SELECT unnest([name, alt_name]) AS n, country_code AS code FROM places)),
+dim AS (SELECT norm, list(DISTINCT code) FILTER (kind = 'country') AS country, list(DISTINCT code) FILTER (kind = 'region') AS region, list(DISTINCT code) FILTER (kind = 'place') AS place
+ FROM names WHERE norm <> '' AND code IS NOT NULL GROUP BY norm),
+u AS (SELECT label, unnest(p) AS unit, generate_subscripts(p, 1) AS unit_no FROM (SELECT label, regexp_split_to_array(coalesce(label, ''), '[;|\n]+|\s*/\s*') AS p FROM l)),
+s AS (SELECT label, unit_no, regexp_matches(unit, '{loc.DENIED}') AS denied, unnest(regexp_split_to_array(unit, '[,()（）、:>]+|\s+[-–—]+\s+|\s+(?:or|and|&|\+)\s+')) AS seg FROM u),
+w AS (SELECT *, {fold('seg')} AS whole FROM s),
+c AS (SELECT *, trim(regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace(whole, '^{words}\b(?: (?:in|from|within|across|only|based in|the))*', ''), '\b{words}$', '')),
+ '^(?:based in|located in|office in|in|the) ', ''), ' (?:office|offices|hq|campus|site|hub)$|^\d{{3,7}} | \d{{1,7}}$', '', 'g')) AS norm, regexp_matches(whole, '\b{words}\b') AS remote FROM w),
+f AS (SELECT c.*, norm IN ({scopes}) OR whole IN ({scopes}) AS scope, country, region, place FROM c LEFT JOIN dim USING (norm)),
+t AS (SELECT label, unit_no, bool_or(denied) AS denied, bool_or(remote) AS remote, bool_or(scope) AS scope, bool_or(norm <> '') AS said, list_distinct(flatten(list(coalesce(country, [])))) AS explicit,
+ list_distinct(flatten(list(CASE WHEN country IS NULL THEN coalesce(region, []) ELSE [] END))) AS near, list(DISTINCT place) FILTER (country IS NULL AND place IS NOT NULL) AS spots FROM f GROUP BY ALL),
+h AS (SELECT *, CASE WHEN len(near) > 0 THEN near ELSE explicit END AS hints FROM t),
+k AS (SELECT *, list_transform(coalesce(spots, []), lambda x: CASE WHEN len(hints) > 0 THEN list_intersect(x, hints) ELSE x END) AS kept FROM h),
+q AS (SELECT *, len(list_filter(kept, lambda x: len(x) = 0)) > 0 AND NOT denied AS clash0, len(list_filter(kept, lambda x: len(x) > 1)) > 0 AND NOT denied AS open, CASE WHEN denied THEN [] ELSE explicit END AS e FROM k),
+r AS (SELECT *, CASE WHEN denied OR clash0 THEN [] ELSE flatten(list_filter(kept, lambda x: len(x) = 1)) END AS read, clash0 AND len(e) = 0 AS clash FROM q),
+g AS (SELECT label, list_sort(list_distinct(flatten(list(e || read)))) AS countries, bool_or(len(e) > 0) AS ex, bool_or(len(e) > 0 AND remote) AS er, bool_or(clash) AS conflict, bool_or(open) AS ambiguous, bool_or(remote) AS is_remote,
+ bool_or(scope) AS scope, bool_or(said) AS said FROM r GROUP BY label)
+SELECT label, array_to_string(countries, '|') AS countries, CASE WHEN len(countries) = 0 THEN NULL WHEN er THEN 'remote-country' WHEN ex THEN 'explicit-label' ELSE 'gazetteer' END AS method, ambiguous, conflict, is_remote,
+ CASE WHEN trim(coalesce(label, '')) = '' THEN 'empty' WHEN len(countries) > 0 THEN NULL WHEN scope THEN 'region' WHEN conflict THEN 'conflict' WHEN ambiguous THEN 'ambiguous' WHEN is_remote AND NOT said THEN 'bare-remote' ELSE 'unknown' END AS unresolved_reason
+FROM g"""
+
+
+@query(_label_sql())
+def label_countries(spark: SparkSession, folder: str) -> DataFrame:
+    """The countries of every distinct location label."""
+    from postloom.operators.locations import resolve_labels
+
+    labels = _jobs(spark, folder).select(F.explode("locations").alias("label"))
+    found = resolve_labels(labels, "label", table(spark, folder, "places"), table(spark, folder, "countries"))
+    return found.withColumn("countries", F.array_join("countries", "|"))
