@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 #: Letters that look like a Latin letter, as pairs (letter, Latin letter).
 LOOKALIKES = {
-    "Cyrillic": "аa еe оo рp сc уy хx іi јj ѕs ԁd һh ԛq ԝw АA ВB ЕE ЅS ІI ЈJ КK МM НH ОO РP СC ТT УY ХX ԌG ԚQ ԜW",
-    "Greek": "οo νv υu ιi αa ρp κk τt χx γy ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX ϹC ϲc ϳj ͿJ",
+    "Cyrillic": "аa еe оo рp сc уy хx іi јj ѕs ԁd һh ԛq ԝw кk АA ВB ЕE ЅS ІI ЈJ КK МM НH ОO РP СC ТT УY ХX ԌG ԚQ ԜW",
+    "Greek": "οo νv υu ιi αa ρp κk τt χx γy ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX ϳj ͿJ",
     "Armenian": "օo սu հh ոn ցg զq ՕO ՍU ԼL ՏS",
     "Cherokee": "ᎪA ᏴB ᏟC ᎠD ᎬE ᎻH ᎫJ ᏦK ᏞL ᎷM ᏢP ᎡR ᏚS ᎢT ᏙV ᎳW ᏃZ",
 }

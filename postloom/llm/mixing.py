@@ -64,11 +64,11 @@ def mix_documents(
     ).where("source is not null and tokens > 0")
     plan = mix_plan(known, targets).checkpoint()
     mean = known.groupBy("source").agg((F.sum(F.col("w") * F.col("tokens")) / F.sum("tokens")).alias("mean_w"))
-    plan = plan.join(mean, "source").withColumn("whole", F.floor(F.col("give_tokens") / F.col("have_tokens")))
+    plan = plan.join(mean, "source").withColumn("whole", F.floor(F.try_divide("give_tokens", "have_tokens")))
     plan = plan.withColumn("whole", F.least("whole", "max_repeats")).withColumn("budget", F.col("give_tokens") - F.col("whole") * F.col("have_tokens"))
     # The plan has one row per mix and source of the targets table, a table of parameters; adaptive execution broadcasts it.
     ranked = known.join(plan, "source")
-    chance = F.least(F.greatest(F.col("budget") / F.col("have_tokens") * F.col("w") / F.col("mean_w"), F.lit(1e-12)), F.lit(1 - 1e-9))
+    chance = F.least(F.greatest(F.try_divide("budget", "have_tokens") * F.col("w") / F.col("mean_w"), F.lit(1e-12)), F.lit(1 - 1e-9))
     u = _uniform(seed, "mix_name", "id")
     ranked = ranked.withColumn("rank", (u / (1 - u)) / (chance / (1 - chance))).withColumn("slice", _slice(F.col("rank")))
     sums = ranked.groupBy("mix_name", "source", "slice").agg(F.sum("tokens").alias("t"))

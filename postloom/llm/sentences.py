@@ -166,10 +166,10 @@ def unit_spans(text: Column) -> Column:
 def sentence_units(documents: DataFrame, text: str = "text", *, keep_text: bool = True) -> DataFrame:
     """One row per sentence unit of each row: ``unit_no`` (from 1), ``start_pos``, ``end_pos`` and, if kept, ``unit``.
 
-    The columns of ``documents`` other than ``text`` stay and must not have these names. See :func:`unit_spans`; rows without units
+    The columns of ``documents`` other than ``text`` stay; those with one of these names are replaced. See :func:`unit_spans`; rows without units
     (null, empty or blank text) give no row, repeated rows stay repeated. No shuffle.
     """
-    rest = [c for c in documents.columns if c != text]
+    rest = [c for c in documents.columns if c not in (text, "unit_no", "start_pos", "end_pos", "unit", "_i", "_u")]
     spans = documents.select(*rest, text, F.posexplode(unit_spans(F.col(text))).alias("_i", "_u"))
     unit = [F.substring(F.col(text), F.col("_u.start_pos") + 1, F.col("_u.end_pos") - F.col("_u.start_pos")).alias("unit")] if keep_text else []
     return spans.select(*rest, (F.col("_i") + 1).alias("unit_no"), "_u.start_pos", "_u.end_pos", *unit)

@@ -54,5 +54,5 @@ def token_counts(text: Column, path: str = VOCABULARY) -> Column:
 
 def sized_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY) -> DataFrame:
     """``documents`` without ``text`` but with ``tokens``."""
-    rest = [c for c in documents.columns if c != text]
+    rest = [c for c in documents.columns if c not in (text, "tokens")]
     return documents.select(*rest, token_counts(F.col(text), path).alias("tokens"))
