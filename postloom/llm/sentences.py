@@ -146,10 +146,14 @@ def unit_spans(text: Column) -> Column:
     for mask in _MASKS:
         masked = F.regexp_replace(masked, mask, _DOT)
     inside = f"(?s)[{_ENDS}](?=.*[{_WORD}])"
-    asides = rf"(?<![：:]\s?)(?:{_SPAN})"
+    told = rf"(?:[：:]\s?)?(?:{_SPAN})"  # a colon before the span says that the quotation ends the sentence
     caseless = f"^.(?:(?![\\p{{Lu}}\\p{{Ll}}])(?s:.))*[{_CASELESS}]"
-    quoted = _each_span(masked, asides, lambda s: F.when(s.rlike(caseless), _masked(s)).otherwise(F.regexp_replace(s, inside, _DOT)))
-    quoted = _each_span(quoted, _SPAN, lambda s: F.regexp_replace(s, inside, _DOT))
+
+    def quotation(span: Column) -> Column:
+        goes_on = ~span.rlike("^[：:]") & span.rlike(caseless)
+        return F.when(goes_on, _masked(span)).otherwise(F.regexp_replace(span, inside, _DOT))
+
+    quoted = _each_span(masked, told, quotation)
     pieces = F.split(quoted, _BOUNDARY, -1)
 
     def grow(acc: Column, piece: Column) -> Column:

@@ -277,6 +277,7 @@ UNITS = [
     ("Γνωρίζεις δοκιμές; Ο κ. Quellis ήρθε; όχι.", ["Γνωρίζεις δοκιμές;", "Ο κ. Quellis ήρθε; όχι."]),
     ("قال د. مروان: «نراجع كل شيء.» هل تعرف؟ نعم.", ["قال د. مروان: «نراجع كل شيء.»", "هل تعرف؟", "نعم."]),
     ("«Можно?» — спросил он. Выше в 1,5 раза, т. е. на 8.", ["«Можно?» — спросил он.", "Выше в 1,5 раза, т. е. на 8."]),
+    ('He asked: "Can you?" Nobody answered. Who said "it is easy!" in the room? We did.', ['He asked: "Can you?"', "Nobody answered.", 'Who said "it is easy!" in the room?', "We did."]),
     ("days.Our dogs.  odd. End", ["days.", "Our dogs.", " odd.", "End"]),
     ("", []),
     (" \n  ", []),
