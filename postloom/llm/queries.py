@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from postloom.llm.canonical import map_values, place_entries
 from postloom.llm.lookalikes import consistent_texts, odd_texts
 from postloom.llm.mixing import mix_documents, mix_report
-from postloom.llm.neardup import components, similar_pairs
+from postloom.llm.neardup import similar_groups, similar_pairs
 from postloom.llm.packing import pack_documents, pack_report
 from postloom.llm.sentences import sentence_units
 from postloom.llm.tokens import sized_documents
@@ -47,8 +47,7 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p2_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Every posting with a description, the group of reworked copies it is in and its number of links."""
-    postings = _postings(spark, folder)
-    groups = components(postings.where("text is not null"), similar_pairs(postings))
+    groups = similar_groups(_postings(spark, folder))
     return groups.select(F.col("id").alias("job_id"), F.col("group").alias("group_id"), "n_links")
 
 

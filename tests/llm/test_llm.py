@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from postloom.llm.canonical import folded, map_values, place_entries, segments, similar_keys
 from postloom.llm.lookalikes import Rewriter, UnionFind, consistent_texts, letter_counts, lookalike_classes, odd_texts, plain_form
 from postloom.llm.mixing import mix_documents, mix_report
-from postloom.llm.neardup import Index, components, signatures, similar_pairs
+from postloom.llm.neardup import Index, components, signatures, similar_groups, similar_pairs
 from postloom.llm.packing import best_fit, lower_bound, pack_documents, pack_report
 from postloom.llm.sentences import sentence_units, unit_spans
 from postloom.llm.tokens import VOCABULARY, count_tokens, encoding
@@ -62,6 +62,27 @@ def test_pairs_against_brute_force(spark):
     assert similar_pairs(frame.limit(0)).count() == 0
 
 
+def test_groups_follow_the_pairs(spark):
+    rows = _texts(random.Random(7), 25) + [(7000 + i, "the same words over and over again here", "Data Engineer") for i in range(40)] + [(8000, "x", "y"), (8001, None, "y")]
+    frame = spark.createDataFrame(rows, "id bigint, text string, title string")
+    pairs = [tuple(r) for r in similar_pairs(frame).collect()]
+    parent = {r[0]: r[0] for r in rows if r[1] is not None}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    degree = dict.fromkeys(parent, 0)
+    for a, b in pairs:
+        degree[a] += 1
+        degree[b] += 1
+        low, high = sorted((top(a), top(b)))
+        parent[high] = low
+    assert {r.id: (r.group, r.n_links) for r in similar_groups(frame).collect()} == {i: (top(i), degree[i]) for i in parent}
+    assert degree[7000] == 39 and len(pairs) == len(set(pairs))
+
+
 def test_pigeonhole_guarantee():
     """All pairs of signatures within the distance share an index key."""
     rng, index = np.random.default_rng(2), Index(chunks=3, symbols=4, errors=1, bits=8)
