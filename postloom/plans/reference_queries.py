@@ -479,3 +479,31 @@ def label_countries(spark: SparkSession, folder: str) -> DataFrame:
     labels = _jobs(spark, folder).select(F.explode("locations").alias("label"))
     found = resolve_labels(labels, "label", table(spark, folder, "places"), table(spark, folder, "countries"))
     return found.withColumn("countries", F.array_join("countries", "|"))
+
+
+@query("""
+WITH w AS (SELECT DISTINCT v FROM (SELECT unnest(countries) AS v FROM location_resolutions)),
+d AS (SELECT lower(unnest([country_code, iso3_code, name])) AS k, country_code AS c FROM countries
+ UNION ALL SELECT k, c FROM (VALUES ('united states of america', 'US'), ('great britain', 'GB'), ('uk', 'GB'), ('kanada', 'CA'), ('日本', 'JP'), ('états-unis', 'US'), ('kenya', 'KE'), ('ghana', 'GH'), ('estonia', 'EE'), ('uruguay', 'UY'), ('vietnam', 'VN')) x(k, c))
+SELECT v AS written, min(c) AS country_code FROM w LEFT JOIN d ON d.k = lower(trim(v)) GROUP BY v""")
+def structured_country(spark: SparkSession, folder: str) -> DataFrame:
+    """The country that each distinct written value states by code or name."""
+    from postloom.functions.countries import structured_country as stated
+
+    values = table(spark, folder, "location_resolutions").select(F.explode("countries").alias("written")).distinct()
+    return stated(values, "written")
+
+
+@query("""
+SELECT b.board_id, CASE WHEN j.n IS NULL AND b.verify_status <> 'unknown' AND b.board_id % 5 <> 0 THEN 'empty' WHEN b.board_id % 5 <> 0 AND j.n > 0 THEN 'active' ELSE b.verify_status END AS verify_status
+FROM boards b LEFT JOIN (SELECT board_id, count(*) AS n FROM source_jobs GROUP BY 1) j USING (board_id)""")
+def status_update(spark: SparkSession, folder: str) -> DataFrame:
+    """The registry after a verification whose unknown outcomes (every fifth board) change nothing."""
+    from postloom.operators.state import conditional_update
+
+    boards = table(spark, folder, "boards").select("board_id", "verify_status")
+    counts = _jobs(spark, folder).groupBy("board_id").agg(F.count("*").alias("n"))
+    probed = boards.join(counts, "board_id", "left").select(
+        "board_id", F.when((F.col("board_id") % 5 == 0) | (F.col("n").isNull() & (F.col("verify_status") == "unknown")), "unknown").when(F.col("n") > 0, "active").otherwise("empty").alias("verify_status")
+    )
+    return conditional_update(boards, probed, ["board_id"], ["verify_status"], unless="unknown")
