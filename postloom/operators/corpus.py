@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postloom.session import checkpoint_ready
+
 
 def change_only(incoming: DataFrame, stored: DataFrame, keys: list[str], hash_column: str) -> DataFrame:
     """``incoming`` with ``change``: ``new``, ``updated`` or ``unchanged`` against the stored hash (null hashes are equal)."""
@@ -82,10 +84,24 @@ def merge_by_key(rows: DataFrame, key: list[str], order: list[str], values: str,
 
 
 def within_bytes(rows: DataFrame, group: str, order: list[str], text: str, cap: int) -> DataFrame:
-    """``rows`` with ``bytes_so_far`` and ``fits``: the running UTF-8 bytes of ``text`` in a group against ``cap``."""
-    so_far = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")).over(so_far)
-    return rows.withColumn("bytes_so_far", total).withColumn("fits", F.col("bytes_so_far") <= cap)
+    """``rows`` with ``bytes_so_far`` and ``fits``: the running UTF-8 bytes of ``text`` in a group against ``cap``.
+
+    Null texts have no bytes. Rows are placed by ranges of (group, order), so a hot group lies in several parts; each part is
+    summed, the sums of the parts before it are added. The placing is checkpointed, as both steps must see the same parts.
+    ``order`` must tell rows apart for the result to be the same on every run.
+    """
+    spark = rows.sparkSession
+    checkpoint_ready(spark)
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in ("bytes_so_far", "fits")]).alias("_row")
+    sized = rows.select(whole, F.col(group).alias("_g"), F.struct(*order).alias("_o"), F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("_b"))
+    placed = sized.repartitionByRange(parts, "_g", "_o").withColumn("_p", F.spark_partition_id()).checkpoint()
+    before = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("_g", "_p").agg(F.sum("_b").alias("_t")).select("_g", "_p", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"))
+    so_far = Window.partitionBy("_g", "_p").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
+    inside = placed.withColumn("_here", F.sum("_b").over(so_far)).join(sums.toDF("_sg", "_sp", "_before"), F.col("_g").eqNullSafe(F.col("_sg")) & (F.col("_p") == F.col("_sp")))
+    total = F.col("_here") + F.col("_before")
+    return inside.select("_row.*", total.alias("bytes_so_far"), (total <= cap).alias("fits"))
 
 
 def carried_forward(rows: DataFrame, key: list[str], order: list[str], value: str, out: str) -> DataFrame:

@@ -186,7 +186,7 @@ def url_validity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(r"""
-SELECT raw_id, CASE WHEN v > 1e12 THEN make_timestamp(CAST(v AS BIGINT) * 1000) WHEN v > 0 THEN make_timestamp(CAST(floor(v) AS BIGINT) * 1000000) END AS instant,
+SELECT raw_id, CASE WHEN v > 1e12 THEN CAST(v AS BIGINT) * 1000 WHEN v > 0 THEN CAST(floor(v) AS BIGINT) * 1000000 END AS instant_us,
  CASE WHEN v IS NOT NULL AND v > 0 THEN 'timestamp' ELSE 'unknown' END AS epoch_precision,
  regexp_matches(coalesce(trim(posted_at), ''), '^\d{4}-\d{2}-\d{2}(?:T00:00(?::00(?:\.0+)?)?)?$') AS is_day
 FROM (SELECT raw_id, posted_at, CASE WHEN regexp_matches(posted_at, '^\d{9,13}(?:\.\d+)?$') THEN try_cast(posted_at AS DOUBLE) END AS v FROM raw_postings)""")
@@ -194,7 +194,7 @@ def epoch_instants(spark: SparkSession, folder: str) -> DataFrame:
     raw = table(spark, folder, "raw_postings").select("raw_id", "posted_at", F.when(F.col("posted_at").rlike(r"^\d{9,13}(?:\.\d+)?$"), F.col("posted_at").cast("double")).alias("v"))
     instant = temporal.epoch_instant(F.col("v"))
     return raw.select(
-        "raw_id", instant.cast("timestamp_ntz").alias("instant"), F.when(F.col("v") > 0, temporal.posted_precision(F.col("posted_at"), instant)).otherwise("unknown").alias("epoch_precision"),
+        "raw_id", F.unix_micros(instant).alias("instant_us"), F.when(F.col("v") > 0, temporal.posted_precision(F.col("posted_at"), instant)).otherwise("unknown").alias("epoch_precision"),
         (F.coalesce(temporal.posted_precision(F.col("posted_at"), F.lit(0)) == "date", F.lit(False))).alias("is_day"),
     )
 
@@ -282,6 +282,10 @@ def _polls(spark: SparkSession, folder: str) -> DataFrame:
     return passes.select("board_id", "source_checked_at", (F.col("skipped_malformed") > 0).alias("changed"), (~F.col("is_complete")).alias("failed"))
 
 
+def _schedule(spark: SparkSession, folder: str) -> DataFrame:
+    return scheduling.schedule_after_polls(_polls(spark, folder), "board_id", "source_checked_at", "changed", "failed")
+
+
 _FOLD = """
 WITH RECURSIVE p AS (SELECT board_id, source_checked_at AS t, coalesce(skipped_malformed > 0, false) AS c, coalesce(NOT is_complete, false) AS f,
   row_number() OVER (PARTITION BY board_id ORDER BY source_checked_at, coalesce(skipped_malformed > 0, false), coalesce(NOT is_complete, false)) AS n FROM snapshot_passes WHERE board_id IS NOT NULL AND source_checked_at IS NOT NULL),
@@ -292,9 +296,9 @@ f AS (SELECT board_id, max(n) AS n FROM s GROUP BY 1), z AS (SELECT s.* FROM s J
 """
 
 
-@query(_FOLD + "SELECT board_id, i AS poll_interval_seconds, r AS change_rate_ema, k AS consecutive_failures, t + to_seconds(i) AS next_due_at FROM z")
+@query(_FOLD + "SELECT board_id, i AS poll_interval_seconds, r AS change_rate_ema, k AS consecutive_failures, epoch_us(t) + i::BIGINT * 1000000 AS next_due_us FROM z")
 def poll_schedule(spark: SparkSession, folder: str) -> DataFrame:
-    return scheduling.schedule_after_polls(_polls(spark, folder), "board_id", "source_checked_at", "changed", "failed")
+    return _schedule(spark, folder).withColumn("next_due_us", F.unix_micros("next_due_at")).drop("next_due_at")
 
 
 _CLAIM_NOW = "2026-05-10 00:00:00"
@@ -306,7 +310,7 @@ SELECT board_id, ats, CAST(turn AS INTEGER) AS turn FROM q ORDER BY turn, ats, b
 def claim_due_boards(spark: SparkSession, folder: str) -> DataFrame:
     """The next 200 boards, fair across sources (a top-k)."""
     boards = table(spark, folder, "boards").select("board_id", "ats", "tier")
-    due = sized_join(poll_schedule(spark, folder), boards, ["board_id"], "inner")
+    due = sized_join(_schedule(spark, folder), boards, ["board_id"], "inner")
     claimed = scheduling.claim_due(
         due, source="ats", due="next_due_at", now=F.to_timestamp(F.lit(_CLAIM_NOW)), proven=F.col("tier") == "hot", rate=F.col("change_rate_ema"), key="board_id", limit=200
     )
@@ -425,7 +429,7 @@ def _provider_json(jobs: DataFrame) -> DataFrame:
 
 
 @query(r"""
-SELECT job_id, source, uid, title, url, CASE WHEN source = 'workable' THEN trim(coalesce(locations[1], '')) ELSE coalesce(locations[1], '') END AS place, date_trunc('millisecond', posted_at) AS posted_at,
+SELECT job_id, source, uid, title, url, CASE WHEN source = 'workable' THEN trim(coalesce(locations[1], '')) ELSE coalesce(locations[1], '') END AS place, epoch_ms(posted_at) * 1000 AS posted_us,
  CASE WHEN posted_at IS NULL THEN 'unknown' ELSE 'timestamp' END AS posted_precision,
  CASE WHEN uid IS NULL OR coalesce(trim(title), '') = '' OR url IS NULL OR length(title) > 2000 THEN 'MALFORMED_JOB' END AS error FROM (SELECT * REPLACE (CASE WHEN trim(locations[1]) = '' THEN [''] ELSE locations END AS locations) FROM source_jobs)""")
 def provider_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -433,7 +437,7 @@ def provider_records(spark: SparkSession, folder: str) -> DataFrame:
     made = adapters.normalized(adapters.extract(_provider_json(_jobs(spark, folder))))
     r = F.col("record")
     place = F.coalesce(F.get(r["locations"], F.lit(0)), F.lit(""))
-    return made.select("job_id", "source", r["uid"].alias("uid"), r["title"].alias("title"), r["url"].alias("url"), place.alias("place"), r["posted_at"].alias("posted_at"), "posted_precision", "error")
+    return made.select("job_id", "source", r["uid"].alias("uid"), r["title"].alias("title"), r["url"].alias("url"), place.alias("place"), F.unix_micros(r["posted_at"]).alias("posted_us"), "posted_precision", "error")
 
 
 def _label_sql() -> str:

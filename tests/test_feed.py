@@ -157,6 +157,17 @@ def test_verdict_thresholds(spark):
     assert got == {1: "ok", 2: "MALFORMED_JOB", 3: "DUPLICATE_JOB_ID", 4: "MALFORMED_JOB"}
 
 
+def test_running_bytes_of_a_hot_group(spark):
+    rows = [(g, i, "x" * (i % 5) if i % 7 else None, 1) for g, n in (("hot", 900), ("b", 30), (None, 20)) for i in range(n)]
+    got = corpus.within_bytes(spark.createDataFrame(rows, "g string, i int, t string, fits int"), "g", ["i"], "t", 500).collect()
+    sums: dict = {}
+    want = {}
+    for g, i, t, _ in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+        sums[g] = sums.get(g, 0) + len(t or "")
+        want[g, i] = (sums[g], sums[g] <= 500)
+    assert {(r.g, r.i): (r.bytes_so_far, r.fits) for r in got} == want and len(got) == len(rows)
+
+
 def test_change_only_nulls_and_replay(spark):
     rows = spark.createDataFrame([(1, None), (2, "a"), (3, "b")], "k int, h string")
     stored = spark.createDataFrame([(1, None), (2, "x")], "k int, h string")
