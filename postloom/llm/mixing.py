@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postloom.operators.joins import sized_join
 from postloom.session import checkpoint_ready
 
 #: Ranks are cut into this many slices; only the slice in which a source's budget ends is ordered row by row.
@@ -66,8 +67,7 @@ def mix_documents(
     mean = known.groupBy("source").agg((F.sum(F.col("w") * F.col("tokens")) / F.sum("tokens")).alias("mean_w"))
     plan = plan.join(mean, "source").withColumn("whole", F.floor(F.try_divide("give_tokens", "have_tokens")))
     plan = plan.withColumn("whole", F.least("whole", "max_repeats")).withColumn("budget", F.col("give_tokens") - F.col("whole") * F.col("have_tokens"))
-    # The plan has one row per mix and source of the targets table, a table of parameters; adaptive execution broadcasts it.
-    ranked = known.join(plan, "source")
+    ranked = sized_join(known, plan.checkpoint(), ["source"], "inner", spread_by="id")
     chance = F.least(F.greatest(F.try_divide("budget", "have_tokens") * F.col("w") / F.col("mean_w"), F.lit(1e-12)), F.lit(1 - 1e-9))
     u = _uniform(seed, "mix_name", "id")
     ranked = ranked.withColumn("rank", (u / (1 - u)) / (chance / (1 - chance))).withColumn("slice", _slice(F.col("rank")))
