@@ -58,6 +58,7 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p5_values(spark: SparkSession, folder: str, least: int = 1) -> DataFrame:
     """Every value of raw_postings.locations with its position; the reference lists name compounds and countries."""
+    # One name more than allowed is enough to refuse the list; nothing is cut off.
     names = table(spark, folder, "places").select(F.explode(F.array("name", "alt_name")).alias("n"))
     compounds = [r.n for r in names.where(r"n rlike '\\s(and|und|et|or|oder|ou|y|og|och|&)\\s'").distinct().limit(MOST_NAMES + 1).collect()]
     lands = table(spark, folder, "countries").select(F.explode(F.concat(F.array("name", "iso3_code"), F.coalesce("other_names", F.array()))).alias("n"))
