@@ -40,6 +40,13 @@ _PLAIN = "\\x20-\\x7E\\t\\r\\n" + "".join(
 SUSPECT = f"[^{_PLAIN}]"
 
 
+_OTHERS = ["IsLatin", "IsGreek", "IsCyrillic", "IsArmenian"]
+#: Words that mix look-alike scripts, also where no representative exists that could put them right.
+MIXED = "|".join(
+    rf"\p{{{a}}}[\p{{L}}\p{{M}}\p{{N}}]*[{''.join(rf'\p{{{b}}}' for b in _OTHERS if b != a)}]" for a in _OTHERS
+)
+
+
 class UnionFind:
     """Disjoint sets of strings; the classes are transitive by construction."""
 
@@ -247,7 +254,10 @@ def consistent_texts(texts: DataFrame, text: str, out: str = "plain", counts: tu
 
 
 def odd_texts(texts: DataFrame, text: str, counts: tuple[tuple[str, int], ...] | None = None) -> DataFrame:
-    """The rows of ``texts`` whose text is not in its consistent form, with ``plain``; see :func:`consistent_texts`."""
+    """The rows of ``texts`` whose text is not in its consistent form, with ``plain``; see :func:`consistent_texts`.
+
+    Words that mix look-alike scripts count also where some of their letters look like none of the other script.
+    """
     counts = letter_counts(texts, text) if counts is None else counts
     odd = texts.where(F.col(text).rlike(SUSPECT))
-    return odd.withColumn("plain", consistent(F.col(text), counts)).where(F.col(text) != F.col("plain"))
+    return odd.withColumn("plain", consistent(F.col(text), counts)).where((F.col(text) != F.col("plain")) | F.col(text).rlike(MIXED))

@@ -182,6 +182,8 @@ def test_consistent_form(spark):
         assert got[i] == want, ascii(text)[:60]
     odd = {r.i for r in odd_texts(frame, "t").collect()}
     assert odd == {i for i, (text, want) in enumerate(TEXTS) if text != want}
+    hard = spark.createDataFrame([("Dевелопер",), ("Девелопер DE",), ("AIエンジニア Σ",)], "t string")
+    assert [r.t for r in odd_texts(hard, "t").collect()] == ["Dевелопер"]
     assert consistent_texts(frame.limit(0), "t").count() == 0
     counts = dict(letter_counts(frame, "t"))
     assert counts["o"] > 10 and consistent_texts(frame, "t", counts=tuple(counts.items())).count() == len(rows)
