@@ -199,3 +199,21 @@ def test_label_countries(spark):
     for label, lands, method, reason in LABELS:
         r = got[label]
         assert (r.countries, r.method, r.unresolved_reason) == (lands, method, reason), label[:40] if label else label
+
+
+SCANNED = [
+    ("alpha germany", ["DE"], "explicit-label", None), ("Twin Germany", ["DE"], "explicit-label", None), ("Old Alpha Works", ["DE"], "gazetteer", None), ("New Alpha Hills", ["US"], "gazetteer", None),
+    ("東京都港区", ["JP"], "gazetteer", None), ("Alpha; Germany (not Twin)", ["DE"], "explicit-label", None), ("Germany, US; not in Germany", ["US"], "explicit-label", None), ("Alpha; outside Germany", [], None, "unknown"),
+    ("Nowhere, TX", ["US"], "gazetteer", None), ("Nowhere, OR", ["US"], "gazetteer", None), ("nowhere, OR", [], None, "unknown"), ("Nowhere, KA", [], None, "unknown"), ("Beta, OR", ["US"], "gazetteer", None), ("Beta OR", ["US"], "gazetteer", None), ("US-OR", ["US"], "explicit-label", None),
+    ("Twin Beta", ["US"], "gazetteer", None), ("we CAN work", [], None, "unknown"), ("Alpha TX", [], None, "conflict"), ("alpha tx", ["DE"], "gazetteer", None), ("日本以外", [], None, "unknown"),
+]
+
+
+def test_label_countries_inside_segments(spark):
+    places = [("Alpha", None, "BY", "DE"), ("Twin", None, "BY", "DE"), ("Twin", None, "TX", "US"), ("Beta", None, "OR", "US"), ("Beta", None, "ON", "CA"), ("New Alpha Hills", None, "TX", "US"), ("Tokyo", "東京都", "TK", "JP"), ("Gamma", None, "KA", "IN")]
+    places = spark.createDataFrame(places, "name string, alt_name string, region_code string, country_code string")
+    lands = [("DE", "DEU", "Germany", None), ("US", "USA", "United States", None), ("JP", "JPN", "Japan", ["日本"]), ("CA", "CAN", "Canada", None)]
+    countries = spark.createDataFrame(lands, "country_code string, iso3_code string, name string, other_names array<string>")
+    frame = spark.createDataFrame([(x[0],) for x in SCANNED], "label string")
+    got = {r.label: r for r in resolve_labels(frame, "label", places, countries).collect()}
+    assert {k: (r.countries, r.method, r.unresolved_reason) for k, r in got.items()} == {x[0]: x[1:] for x in SCANNED}
