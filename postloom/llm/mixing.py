@@ -14,6 +14,8 @@ from postloom.session import checkpoint_ready
 
 #: Ranks are cut into this many slices; only the slice in which a source's budget ends is ordered row by row.
 SLICES = 4096
+#: After the prefix of the order, what is left of a budget is filled so many times by the documents that still fit.
+FILLS = 2
 
 
 def _uniform(seed: int, *columns: str) -> Column:
@@ -45,6 +47,20 @@ def mix_plan(documents: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def _prefix(ranked: DataFrame) -> DataFrame:
+    """``ranked`` with ``extra``: 1 for the longest prefix of each source's order that keeps to its ``room`` of tokens, else 0."""
+    sums = ranked.groupBy("mix_name", "source", "slice").agg(F.sum("tokens").alias("t"))
+    before = Window.partitionBy("mix_name", "source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("before", F.coalesce(F.sum("t").over(before), F.lit(0)))
+    rows = ranked.join(sums, ["mix_name", "source", "slice"])
+    inside = rows.where("before + t <= room").withColumn("extra", F.lit(1))
+    edge = rows.where("before + t > room and before < room")
+    order = Window.partitionBy("mix_name", "source", "slice").orderBy("rank", "id").rowsBetween(Window.unboundedPreceding, 0)
+    edge = edge.withColumn("extra", (F.col("before") + F.sum("tokens").over(order) <= F.col("room")).cast("int"))
+    beyond = rows.where("before + t > room and before >= room").withColumn("extra", F.lit(0))
+    return inside.unionByName(edge).unionByName(beyond).drop("t", "before")
+
+
 def mix_documents(
     documents: DataFrame, targets: DataFrame, *, key: str = "doc_id", weight: str | None = None, seed: int = 11
 ) -> DataFrame:
@@ -53,7 +69,8 @@ def mix_documents(
     ``documents`` has a unique ``key``, ``source`` and ``tokens``; ``targets`` has ``mix_name``, ``source``, ``target_share``, ``max_repeats``.
     Every document gets the certain whole copies of its source; the tokens still missing come from a Pareto order sample with
     inclusion probability in proportion to ``weight`` (all alike without it). The sample is the longest prefix of the order
-    that keeps to the budget, so a source misses its tokens by less than one document.
+    that keeps to the budget, so a source misses its tokens by less than one document; as that one may be huge, the rest is filled
+    ``FILLS`` times by the next documents that are not larger than it.
 
     Documents without source or tokens are in no mix; null weights count 1; repeated targets count once; empty inputs give no
     rows; extra columns are ignored. Sources may hold any part of the rows: sums are combined before the shuffle, and the
@@ -71,16 +88,14 @@ def mix_documents(
     chance = F.least(F.greatest(F.try_divide("budget", "have_tokens") * F.col("w") / F.col("mean_w"), F.lit(1e-12)), F.lit(1 - 1e-9))
     u = _uniform(seed, "mix_name", "id")
     ranked = ranked.withColumn("rank", (u / (1 - u)) / (chance / (1 - chance))).withColumn("slice", _slice(F.col("rank")))
-    sums = ranked.groupBy("mix_name", "source", "slice").agg(F.sum("tokens").alias("t"))
-    before = Window.partitionBy("mix_name", "source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("t").over(before), F.lit(0)))
-    room = ranked.join(sums, ["mix_name", "source", "slice"])
-    inside = room.where("before + t <= budget").withColumn("extra", F.lit(1))
-    edge = room.where("before + t > budget and before < budget")
-    order = Window.partitionBy("mix_name", "source", "slice").orderBy("rank", "id").rowsBetween(Window.unboundedPreceding, 0)
-    edge = edge.withColumn("extra", (F.col("before") + F.sum("tokens").over(order) <= F.col("budget")).cast("int"))
-    beyond = room.where("before + t > budget and before >= budget").withColumn("extra", F.lit(0))
-    used = inside.unionByName(edge).unionByName(beyond).withColumn("copies", (F.col("whole") + F.when(F.col("whole") < F.col("max_repeats"), F.col("extra")).otherwise(0)).cast("int"))
+    used = _prefix(ranked.select("mix_name", "source", "id", "tokens", "whole", "max_repeats", "budget", "rank", "slice", F.col("budget").alias("room")))
+    for _ in range(FILLS):
+        used = used.drop("room").checkpoint()
+        left = used.groupBy("mix_name", "source").agg((F.min("budget") - F.sum(F.col("tokens") * F.col("extra"))).alias("room"))
+        used = used.join(left, ["mix_name", "source"]).withColumn("fits", (F.col("extra") == 0) & (F.col("tokens") <= F.col("room")))
+        more = _prefix(used.where("fits").drop("extra", "fits"))
+        used = used.where("not fits").drop("fits").unionByName(more)
+    used = used.withColumn("copies", (F.col("whole") + F.when(F.col("whole") < F.col("max_repeats"), F.col("extra")).otherwise(0)).cast("int"))
     return used.where("copies > 0").select("mix_name", "source", F.col("id").alias(key), "tokens", "copies")
 
 

@@ -96,14 +96,14 @@ def p7_report(spark: SparkSession, folder: str) -> DataFrame:
 def p8_mixes(spark: SparkSession, folder: str) -> DataFrame:
     checkpoint_ready(spark)
     sizes = sized_documents(table(spark, folder, "documents").select("doc_id", "source", "text")).checkpoint()
-    return mix_documents(sizes, table(spark, folder, "mix_targets"))
+    return mix_documents(sizes, table(spark, folder, "mix_targets"), weight="tokens")
 
 
 def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     checkpoint_ready(spark)
     sizes = sized_documents(table(spark, folder, "documents").select("doc_id", "source", "text")).checkpoint()
     targets = table(spark, folder, "mix_targets")
-    return mix_report(mix_documents(sizes, targets), sizes, targets)
+    return mix_report(mix_documents(sizes, targets, weight="tokens"), sizes, targets)
 
 
 QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p6_found": p6_found, "p6_texts": p6_texts, "p7_packs": p7_packs, "p7_report": p7_report, "p8_mixes": p8_mixes, "p8_report": p8_report, "p9_found": p9_found, "p9_units": p9_units}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from postloom.llm.canonical import folded, map_values, place_entries, segments, similar_keys
 from postloom.llm.lookalikes import Rewriter, UnionFind, consistent_texts, letter_counts, lookalike_classes, odd_texts, plain_form
+from postloom.llm import queries
 from postloom.llm.mixing import mix_documents, mix_report
 from postloom.llm.neardup import Index, components, signatures, similar_groups, similar_pairs
 from postloom.llm.packing import best_fit, lower_bound, pack_documents, pack_report
@@ -275,6 +276,23 @@ def test_mix_weights_change_the_sample(spark):
     assert len(got) == 400 and 320 < heavy < 390
 
 
+@pytest.mark.parametrize("name", ["p8_mixes", "p8_report"])
+def test_mix_queries_weigh_by_tokens(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(queries, "sized_documents", lambda docs: docs.select("doc_id", "source", F.col("text").cast("bigint").alias("tokens")))
+    rng = random.Random(4)
+    docs = [(i, "s", str(1000 if i % 2 else 10)) for i in range(2000)] + [(5000 + i, "t", str(rng.randrange(5, 50))) for i in range(2000)]
+    spark.createDataFrame(docs, "doc_id bigint, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([("m", "s", 0.8, 1), ("m", "t", 0.2, 1)], "mix_name string, source string, target_share double, max_repeats int").write.parquet(str(tmp_path / "mix_targets.parquet"))
+    rows = [r for r in queries.QUERIES[name](spark, str(tmp_path)).collect() if r.source == "s"]
+    budget = 4 * sum(int(d[2]) for d in docs if d[1] == "t")
+    if name == "p8_mixes":
+        large = sum(r.tokens == 1000 for r in rows)
+        # A share of 0.22 of the tokens; odds by size take about one small document in 400, even odds one in five.
+        assert len(rows) - large < 110 and 0 <= budget - sum(r.tokens for r in rows) < 10
+    else:
+        assert 0 <= budget - rows[0].n_tokens < 10
+
+
 def test_tokens():
     assert count_tokens(None) == count_tokens("") == 0
     assert count_tokens("two words") == len(encoding(VOCABULARY).encode_ordinary("two words"))
