@@ -7,9 +7,13 @@ from datetime import datetime, timedelta, timezone
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-FIRST_YEAR, LAST_YEAR = 1970, 2060
+#: Before the first year no zone has changed its mean local time; in the last 28 years, every one of the 14 calendars occurs and only
+#: the yearly rules hold that hold for ever. Years from the first to the last dense one have rows of their own, the others share decades.
+FIRST_YEAR, LAST_YEAR = 1830, 2128
+FIRST_DENSE, LAST_DENSE = 1970, 2060
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _STEP = 10 * 86400
 _FAR = 1 << 40
@@ -47,22 +51,43 @@ def intervals(name: str, first_year: int = FIRST_YEAR, last_year: int = LAST_YEA
 def _frame(names: tuple[str, ...], first_year: int, last_year: int) -> pd.DataFrame:
     rows = []
     starts = [int((datetime(y, 1, 1, tzinfo=timezone.utc) - _EPOCH).total_seconds()) for y in range(first_year, last_year + 2)]
+    decades = [(y, y + 9) for y in range(FIRST_YEAR, FIRST_DENSE, 10)] + [(y, y + 9) for y in range(LAST_DENSE + 1, LAST_YEAR + 1, 10)]
+    blocks = [(y, y) for y in range(FIRST_DENSE, LAST_DENSE + 1)] + decades
+    blocks = [(a, b) for a, b in blocks if b >= first_year and a <= last_year]
     for name in names:
         spans = intervals(name, first_year, last_year)
-        for year in range(first_year, last_year + 1):
-            low = -_FAR if year == first_year else starts[year - first_year] - 2 * 86400
-            high = _FAR if year == last_year else starts[year - first_year + 1] + 2 * 86400
+        for first, last in blocks:
+            low = -_FAR if first <= first_year else starts[first - first_year] - 2 * 86400
+            high = _FAR if last >= last_year else starts[last - first_year + 1] + 2 * 86400
             near = [{"local_start": s + o, "local_end": e + o, "offset_s": o} for s, e, o in spans if s + o < high and e + o > low]
-            rows.append((name, year, near))
+            rows.append((name, first, near))
     return pd.DataFrame(rows, columns=["zone_id", "local_year", "spans"])
 
 
+def place_in_time(year: Column) -> tuple[Column, Column]:
+    """The ``local_year`` in :func:`zone_table` of any year, and the days by which its moments lie behind the year read there.
+
+    Years after the last one are read as the one of the last 28 that has the same calendar.
+    """
+    same = {}
+    for y in range(LAST_YEAR - 27, LAST_YEAR + 1):
+        first = datetime(y, 1, 1)
+        same[(first.isoweekday() % 7 + 1) * 2 + int((datetime(y + 1, 1, 1) - first).days == 366)] = y
+    new_year = F.make_date(year, F.lit(1), F.lit(1))
+    leap = ((year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))).cast("int")
+    like = F.create_map(*[F.lit(x) for pair in same.items() for x in pair])[F.dayofweek(new_year) * 2 + leap]
+    read = F.when(year > LAST_YEAR, like).otherwise(F.greatest(year, F.lit(FIRST_YEAR)))
+    behind = F.when(year > LAST_YEAR, F.unix_date(new_year) - F.unix_date(F.make_date(like, F.lit(1), F.lit(1)))).otherwise(0)
+    decade = F.when(read < FIRST_DENSE, read - read % 10).when(read > LAST_DENSE, read - (read - LAST_DENSE - 1) % 10).otherwise(read)
+    return decade.cast("int"), behind
+
+
 def zone_table(spark: SparkSession, names: list[str], first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
-    """(zone_id, local_year, spans): the intervals of every named zone, exploded to the local years they touch.
+    """(zone_id, local_year, spans): the intervals of every named zone, exploded to the local years or decades they touch.
 
-    ``spans`` is ordered by time and holds the few intervals (local_start, local_end, offset_s; seconds) around that year.
-    Its size is bounded by the names given times the years; a zone has at most a few changes a year. Unknown names are left
-    out. Years outside the range use the first or last one.
+    ``local_year`` is as :func:`place_in_time` gives it; ``spans`` is ordered by time and holds the intervals (local_start,
+    local_end, offset_s; seconds) around that year or decade. Its size is bounded by the names given times the years; a zone has
+    at most a few changes a year. Unknown names are left out.
     """
     known = tuple(sorted(set(names) & zoneinfo.available_timezones()))
     frame = _frame(known, first_year, last_year)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.functions.zones import FIRST_YEAR, LAST_YEAR, zone_table
+from postloom.functions.zones import place_in_time, zone_table
 
 #: Month names of the languages written in, by month number; compared without case and accents.
 MONTHS = {
@@ -166,6 +166,8 @@ def to_utc(
     several meanings are read as used in ``zone``, unknown letters make the value unreadable. Of a repeated local hour the
     first is meant; a skipped local time moves on by the skip. A bare day is its midnight UTC.
 
+    Zones are known for all years: before the first change by mean local time, in far years by the rules in force last.
+
     ``out`` is null for null, empty and unreadable texts, for days and clock times that do not exist. Repeated rows stay,
     extra columns stay whatever their names (a column named ``out`` is replaced), empty tables stay empty. ``zones``
     bounds the zone names of the interval table (default: all IANA names, about 600).
@@ -193,11 +195,11 @@ def to_utc(
     parsed = parsed.withColumn("_unread", F.coalesce(unread, F.lit(False))).withColumn(
         "zone_id", F.when((named != "") & F.col("_stated").isNull(), named).otherwise(F.coalesce(F.col("_zone"), F.lit("UTC")))
     )
-    year = F.least(F.greatest(F.col("_p.y"), F.lit(FIRST_YEAR)), F.lit(LAST_YEAR))
+    year, behind = place_in_time(F.when(F.col("_day").isNotNull(), F.col("_p.y")))
     parsed = parsed.withColumn("local_year", F.when(F.col("_stated").isNull() & ~F.col("_unread"), year))
     spans = zone_table(spark, zones if zones is not None else list(zoneinfo.available_timezones()))
     joined = parsed.join(F.broadcast(spans), ["zone_id", "local_year"], "left")
-    second = F.floor(F.col("_local") / 1000000)
+    second = F.floor(F.col("_local") / 1000000) - behind.cast("bigint") * 86400
     joined = joined.withColumn("_hit", F.filter("spans", lambda s: (s["local_start"] <= second) & (second < s["local_end"])))
     before = F.filter("spans", lambda s: s["local_end"] <= second)
     seconds = (

@@ -121,6 +121,22 @@ def test_intervals_against_the_zone(name):
         assert [o for s, e, o in spans if s <= second < e] == [want]
 
 
+def test_written_moments_of_all_years(spark):
+    rng, rows = random.Random(8), []
+    zones = ["Europe/Berlin", "America/New_York", "Asia/Kolkata", "Australia/Lord_Howe", "Africa/Casablanca", "America/Sao_Paulo", "Asia/Manila"]
+    for year in [1, 1700, 1835, 1845, 1890, *range(1900, 1970, 3), *range(2058, 2135, 2), 2200, 2400, 3000, 4567, 9998]:
+        for zone in zones:
+            for _ in range(4):
+                local = datetime(year, 1, 1) + timedelta(seconds=rng.randrange(365 * 86400))
+                there = local.replace(tzinfo=ZoneInfo(zone))
+                if there.utcoffset() != there.replace(fold=1).utcoffset():
+                    continue
+                rows.append((local.strftime("%Y-%m-%dT%H:%M:%S").zfill(19), zone, (local - there.utcoffset() - datetime(1970, 1, 1)) // timedelta(microseconds=1)))
+    rows += [("2061-07-01 12:00", "Europe/Berlin", 2887437600 * 10**6), ("1969-07-01 12:00", "America/New_York", -15840000 * 10**6)]
+    got = to_utc(spark.createDataFrame(rows, "w string, z string, want bigint").selectExpr("*", "false as m"), text="w", zone="z", month_first="m", zones=zones).collect()
+    assert [(r.w, r.z) for r in got if r.utc_us != r.want] == []
+
+
 PACKED = [
     ("A-Town; B-Town", ["A-Town", "B-Town"]),
     ("Mühlelswörth, Germany || Hybrid - Walderijssel | North Griniswick", ["Mühlelswörth, Germany", "Hybrid - Walderijssel", "North Griniswick"]),
