@@ -105,6 +105,13 @@ def test_signatures_do_not_depend_on_the_batch():
     assert signatures(["", "one two"], index)[1][0] is None and signatures(["one two"], index)[1][0] is not None
 
 
+def test_texts_that_repeat_themselves(spark):
+    once = " ".join(WORDS[:16])
+    frame = spark.createDataFrame([(1, once, "a"), (2, " ".join([once] * 3), "a"), (3, " ".join([once] * 400), "a"), (4, " ".join(WORDS[8:]), "a")], "id bigint, text string, title string")
+    assert sorted((r.id_a, r.id_b) for r in similar_pairs(frame).collect()) == [(1, 2), (1, 3), (2, 3)]
+    assert {r.id: r.group for r in similar_groups(frame).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (4, 4), (1, 2)]
     got = components(spark.range(1, 12), spark.createDataFrame(links, "id_a bigint, id_b bigint"))
