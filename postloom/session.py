@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 #: What every operator relies on: UTC timestamps, adaptive execution with skew handling, last-wins map merges.
@@ -29,8 +33,17 @@ def build_session(app: str = "postloom", master: str | None = None, **extra: str
 def checkpoint_ready(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``; only where nothing is set (tests) a local folder is used.
+    A cluster names its shared folder in ``spark.checkpoint.dir``. Only a session whose executors are threads of this process
+    (master ``local``, as in tests) gets a folder of its own where nothing is set; elsewhere that is refused, because a folder of
+    one machine would be lost to the others.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/postloom-checkpoint")
+    if context.getCheckpointDir() is not None:
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        folder = tempfile.mkdtemp(prefix="postloom-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.setCheckpointDir(folder)
