@@ -98,11 +98,77 @@ def test_pigeonhole_guarantee():
 
 def test_signatures_do_not_depend_on_the_batch():
     index, texts = Index(), [t for _, t, _ in _texts(random.Random(1), 12)]
-    whole = signatures(texts, index)
+    have, prints, whole = signatures(texts, index, 3)
+    assert have == list(range(len(texts)))
     for i, text in enumerate(texts):
-        alone = signatures([text], index)
-        assert np.array_equal(alone[0][0], whole[0][i]) and alone[2][0] == whole[2][i]
-    assert signatures(["", "one two"], index)[1][0] is None and signatures(["one two"], index)[1][0] is not None
+        alone = signatures([text], index, 3)
+        assert np.array_equal(alone[2][0], whole[i]) and alone[1][0] == prints[i]
+    assert signatures(["", "one two", "one two three"], index, 3)[0] == [2]
+
+
+def _edited(rng, words, share):
+    """Some text whose three-word sequences share about ``share`` with those of ``words``: words replaced, dropped and moved."""
+    near, fresh = list(words), 0
+    while True:
+        at, how = rng.randrange(len(near)), rng.randrange(3)
+        if how == 0:
+            near[at] = f"new{fresh}{rng.randrange(10**6)}"
+        elif how == 1:
+            del near[at]
+        else:
+            near.insert(rng.randrange(len(near)), near.pop(at))
+        fresh += 1
+        if _share(words, near) < share:
+            return near
+
+
+def _share(a, b):
+    x, y = ({tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_recall_by_similarity_and_length(spark):
+    """Of pairs planted in bands of similarity and length at least 95 of 100 are found in each, and nothing false."""
+    rng, rows, bands = random.Random(12), [], {}
+    for size in (20, 35, 60, 250):
+        for low, high in ((0.6, 0.65), (0.65, 0.7), (0.7, 0.8), (0.8, 1.0)):
+            for _ in range(150):
+                words = [f"w{rng.randrange(10**7)}" for _ in range(size)]
+                for _ in range(40):
+                    near = _edited(rng, words, rng.uniform(low, high) + 1.5 / size)
+                    if low <= _share(words, near) < high:
+                        break
+                else:
+                    continue
+                at = len(rows)
+                rows += [(at, " ".join(words), "a b"), (at + 1, " ".join(near), "b a")]
+                bands.setdefault((size, low), set()).add((at, at + 1))
+    frame = spark.createDataFrame(rows, "id bigint, text string, title string")
+    got = {tuple(r) for r in similar_pairs(frame).collect()}
+    assert got <= set().union(*bands.values())
+    found = {band: len(pairs & got) / len(pairs) for band, pairs in bands.items() if len(pairs) > 50}
+    assert len(found) == 16 and min(found.values()) >= 0.95, found
+    assert {tuple(r) for r in similar_pairs(frame, exact=True).collect()} == set().union(*bands.values())
+
+
+def test_hot_keys_take_the_exact_way(spark):
+    """A paragraph that most texts share makes hot keys; their texts meet by rare shingles and no pair is lost."""
+    rng = random.Random(3)
+    shared = [f"s{i}" for i in range(40)]
+    rows = []
+    for i in range(60):
+        own = [f"o{i}x{j}" for j in range(60)]
+        rows.append((2 * i, " ".join(shared + own), "Cook"))
+        if i % 4 == 0:
+            rows.append((2 * i + 1, " ".join(shared + own[:-3] + ["end"]), "cook"))
+    frame = spark.createDataFrame(rows, "id bigint, text string, title string")
+    index = Index(most=4, sample=1)
+    assert {tuple(r) for r in similar_pairs(frame, index=index).collect()} == _brute_pairs(rows)
+    titles = [(i, rows[0][1], f"{rng.choice(WORDS)} {rng.choice(WORDS)} {i % 7}") for i in range(80)] + [(200, rows[1][1], "the 3 team")]
+    frame = spark.createDataFrame(titles, "id bigint, text string, title string")
+    want = _brute_pairs(titles)
+    assert {tuple(r) for r in similar_pairs(frame, index=index).collect()} == want and want
+    assert {tuple(r) for r in similar_pairs(frame).collect()} == want
 
 
 def test_texts_that_repeat_themselves(spark):
