@@ -48,20 +48,25 @@ def intervals(name: str, first_year: int = FIRST_YEAR, last_year: int = LAST_YEA
 
 
 @lru_cache(maxsize=None)
-def _frame(names: tuple[str, ...], first_year: int, last_year: int) -> pd.DataFrame:
-    rows = []
+def _rows(name: str, first_year: int, last_year: int) -> tuple[tuple, ...]:
+    """The interval rows of one zone, each once for every local year or decade it touches."""
     starts = [int((datetime(y, 1, 1, tzinfo=timezone.utc) - _EPOCH).total_seconds()) for y in range(first_year, last_year + 2)]
     decades = [(y, y + 9) for y in range(FIRST_YEAR, FIRST_DENSE, 10)] + [(y, y + 9) for y in range(LAST_DENSE + 1, LAST_YEAR + 1, 10)]
     blocks = [(y, y) for y in range(FIRST_DENSE, LAST_DENSE + 1)] + decades
-    blocks = [(a, b) for a, b in blocks if b >= first_year and a <= last_year]
-    for name in names:
-        spans = intervals(name, first_year, last_year)
-        for first, last in blocks:
-            low = -_FAR if first <= first_year else starts[first - first_year] - 2 * 86400
-            high = _FAR if last >= last_year else starts[last - first_year + 1] + 2 * 86400
-            near = [{"local_start": s + o, "local_end": e + o, "offset_s": o} for s, e, o in spans if s + o < high and e + o > low]
-            rows.append((name, first, near))
-    return pd.DataFrame(rows, columns=["zone_id", "local_year", "spans"])
+    spans = intervals(name, first_year, last_year)
+    local = [(s + o, e + o, o) for s, e, o in spans]
+    rows = []
+    for first, last in blocks:
+        if last < first_year or first > last_year:
+            continue
+        low = -_FAR if first <= first_year else starts[first - first_year] - 2 * 86400
+        high = _FAR if last >= last_year else starts[last - first_year + 1] + 2 * 86400
+        for i, (start, end, offset) in enumerate(local):
+            until = local[i + 1][0] if i + 1 < len(local) else 2 * _FAR
+            if start < high and until > low:
+                before_end, before_offset = local[i - 1][1:] if i else (-2 * _FAR, offset)
+                rows.append((name, first, -2 * _FAR if i == 0 else start, until, end, offset, before_end, before_offset))
+    return tuple(rows)
 
 
 def place_in_time(year: Column) -> tuple[Column, Column]:
@@ -82,14 +87,18 @@ def place_in_time(year: Column) -> tuple[Column, Column]:
     return decade.cast("int"), behind
 
 
+INTERVAL = "zone_id string, local_year int, local_start bigint, until bigint, local_end bigint, offset_s int, before_end bigint, before_offset_s int"
+
+
 def zone_table(spark: SparkSession, names: list[str], first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
-    """(zone_id, local_year, spans): the intervals of every named zone, exploded to the local years or decades they touch.
+    """The intervals of every named zone, exploded to the local years or decades they touch: columns of :data:`INTERVAL`.
 
-    ``local_year`` is as :func:`place_in_time` gives it; ``spans`` is ordered by time and holds the intervals (local_start,
-    local_end, offset_s; seconds) around that year or decade. Its size is bounded by the names given times the years; a zone has
-    at most a few changes a year. Unknown names are left out.
+    ``local_year`` is as :func:`place_in_time` gives it. Each interval stands with the local second at which the next one begins
+    (``until``), so exactly one row of a zone and year is the last to begin at or before a given second; ``local_end`` says whether
+    that interval holds the second too, ``before_end`` whether the one before it still does. Its size is bounded by the names given
+    times the years; a zone has at most a few changes a year. Unknown names are left out.
     """
-    known = tuple(sorted(set(names) & zoneinfo.available_timezones()))
-    frame = _frame(known, first_year, last_year)
-    kind = "zone_id string, local_year int, spans array<struct<local_start: bigint, local_end: bigint, offset_s: int>>"
-    return spark.createDataFrame(list(frame.itertuples(index=False, name=None)), kind)
+    known = sorted(set(names) & zoneinfo.available_timezones())
+    rows = [row for name in known for row in _rows(name, first_year, last_year)]
+    frame = pd.DataFrame(rows, columns=[c.split()[0] for c in INTERVAL.split(", ")])
+    return spark.createDataFrame(frame, INTERVAL) if rows else spark.createDataFrame([], INTERVAL)

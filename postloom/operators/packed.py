@@ -12,6 +12,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postloom.functions.text import let
+
 _OPEN, _CLOSE, _MARK, _COMMA = "\ue000", "\ue001", "\ue002", "\ue003"
 _SPACE = "[\\s\\u0085\\u00A0\\u1680\\u2000-\\u200B\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF]"
 _HELD = f"{_OPEN}\\d+{_CLOSE}"
@@ -76,29 +78,26 @@ def packed_values(text: Column, *, compounds: list[str] | None = None, qualifier
     inner = F.when(boxed, F.substring(whole, F.lit(2), F.length(whole) - 2)).otherwise(whole)
     protected = _protected(compounds)
 
-    def held(state: Column) -> Column:
-        pieces = F.transform(
-            F.split(state, protected, -1),
-            lambda part, i: F.concat(part, F.when(i < F.size(F.regexp_extract_all(state, F.lit(protected), 0)), F.concat(F.lit(_OPEN), i.cast("string"), F.lit(_CLOSE))).otherwise("")),
-        )
-        return F.array_join(pieces, "")
-
     listed = r"^\s*\(?1[.)]\s"
     strong = rf"{_MARK}|[\r\n\t;；|•·、]|\s//?\s|\s\+\s|(?<=\p{{L}}{{3}})/(?=\p{{Lu}}\p{{L}}{{2}})(?!Remote|Hybrid|On)"
     tail = rf"(?:[A-Z]{{2,3}}|(?:{_any(UNITS)})\.?\s+[\w/\-]+" + (f"|{_any(qualifiers)}" if qualifiers else "") + ")"
     lead = rf"((?:^|[,，]\s*)(?:\d[^,，]*|(?:{_any(MODES)})(?:\s*{_HELD})?)\s*)[,，]"
     joining = rf"\s(?:{_any(JOINING)})\s"
 
-    def cut(masked: Column, spans: Column) -> Column:
-        marked = F.when(masked.rlike(listed), F.regexp_replace(masked, r"(?:^|(?<=[\s;,|]))\(?\d{1,3}[.)]\s+", _MARK)).otherwise(masked)
-        quoted = marked.rlike(rf"(?:^|[,;])\s*{_HELD}\s*(?:[,;]|$)") & F.exists(spans, lambda s: s.rlike("(?s)^[\"'].*[\"']$"))
-        every = boxed | quoted | F.exists(spans, lambda s: s == "\\,")
+    def cut(masked: Column, spans: Column, boxed: Column) -> Column:
+        numbered = F.regexp_replace(masked, r"(?:^|(?<=[\s;,|]))\(?\d{1,3}[.)]\s+", _MARK)
+        return let(F.when(masked.rlike(listed), numbered).otherwise(masked), lambda marked: divided(marked, spans, boxed))
+
+    def divided(marked: Column, spans: Column, boxed: Column) -> Column:
+        whole_values = marked.rlike(rf"(?:^|[,;])\s*{_HELD}\s*(?:[,;]|$)") & F.exists(spans, lambda s: s.rlike("(?s)^[\"'].*[\"']$"))
+        every = boxed | F.when(F.size(spans) > 0, whole_values | F.exists(spans, lambda s: s == "\\,")).otherwise(False)
         some = F.regexp_replace(F.regexp_replace(marked, joining, ", "), rf"[,，](?=\s*{tail}\s*(?:[,，]|$))", _COMMA)
         some = F.regexp_replace(some, lead, f"$1{_COMMA}")
         return (
             F.when(marked.rlike(strong), F.split(marked, strong, -1))
             .when(every, F.split(marked, "[,，]", -1))
-            .otherwise(F.split(some, "[,，]", -1))
+            .when(marked.rlike(rf"[,，]|{joining}"), F.transform(F.split(some, "[,，]", -1), lambda p: F.translate(p, _COMMA, ",")))
+            .otherwise(F.array(marked))
         )
 
     def restored(piece: Column, spans: Column) -> Column:
@@ -110,13 +109,20 @@ def packed_values(text: Column, *, compounds: list[str] | None = None, qualifier
             freed = F.when(alone, _bare(span)).when(span.rlike(r"^\\.$"), F.substring(span, 2, 1)).otherwise(span)
             return F.concat(part, F.coalesce(freed, F.lit("")))
 
-        return F.array_join(F.transform(F.split(F.regexp_replace(piece, _COMMA, ","), _HELD, -1), back), "")
+        return F.array_join(F.transform(F.split(piece, _HELD, -1), back), "")
+
+    def boxed_up(s: Column) -> Column:
+        # Each span and each part between spans is found once, whatever their number.
+        found = F.struct(F.split(s["t"], protected, -1).alias("parts"), F.regexp_extract_all(s["t"], F.lit(protected), 0).alias("spans"), s["boxed"].alias("boxed"))
+        return F.when(s["t"].rlike(suspect), let(found, placed)).otherwise(cut(s["t"], F.array().cast("array<string>"), s["boxed"]))
+
+    def placed(s: Column) -> Column:
+        held = F.transform(s["parts"], lambda p, i: F.when(i < F.size(s["spans"]), F.concat(p, F.lit(_OPEN), i.cast("string"), F.lit(_CLOSE))).otherwise(p))
+        pieces = let(F.array_join(held, ""), lambda m: cut(m, s["spans"], s["boxed"]))
+        return F.transform(pieces, lambda p: F.when(p.contains(_OPEN), let(p, lambda q: restored(q, s["spans"]))).otherwise(p))
 
-    state = F.struct(inner.alias("t"))
-    # One binding of each intermediate text: a one-element array is transformed, so nothing is evaluated twice.
-    step = F.transform(F.array(state), lambda s: F.struct(held(s["t"]).alias("m"), F.regexp_extract_all(s["t"], F.lit(protected), 0).alias("spans")))
-    step = F.transform(step, lambda s: F.struct(cut(s["m"], s["spans"]).alias("pieces"), s["spans"].alias("spans")))
-    values = F.transform(step, lambda s: F.transform(s["pieces"], lambda p: restored(p, s["spans"])))[0]
+    suspect = f"[\"'(\\\\{_OPEN}{_CLOSE}{_MARK}{_COMMA}]" + (f"|{joining}" if compounds else "")
+    values = let(F.struct(inner.alias("t"), boxed.alias("boxed")), boxed_up)
     clean = F.transform(values, lambda v: _strip(F.regexp_replace(_strip(v), r"^(?:[-–*•·]\s+|\(\d{1,3}\)\s+)", "")))
     return F.when(text.isNotNull(), F.filter(clean, lambda v: (v != "") & ~v.rlike(r"^[-–*•·,;|/]+$")))
 

@@ -63,6 +63,7 @@ _SHAPES = {
     "name_day": (rf"^{_WEEKDAY}{_NAME}\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}})(?:{_BETWEEN}{_TAIL})?$", 3, 1, 2, 4),
     "cjk": (rf"^(\d{{4}})\s*[年년]\s*(\d{{1,2}})\s*[月월]\s*(\d{{1,2}})\s*[日일]?(?:\s*{_TAIL})?$", 1, 2, 3, 4),
 }
+_ZONE_NAME = r"([A-Z][A-Za-z_]+/[A-Za-z_+\-0-9/]+)"
 _SPACE = "[\\s\\u0085\\u00A0\\u1680\\u2000-\\u200B\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF]+"
 
 
@@ -76,26 +77,37 @@ def _text(text: Column, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
-def _shape(text: Column, name: str, month_first: Column) -> Column:
-    pattern, year, month, day, clock = _SHAPES[name]
-    if name in ("day_name", "name_day"):
-        number = _month_number(_text(text, pattern, month))
-        middle, first = number, _text(text, pattern, day).cast("int")
-    else:
-        middle, first = _text(text, pattern, month).cast("int"), _text(text, pattern, day).cast("int")
-    if name == "numeric":
-        middle, first = F.when(month_first, first).otherwise(middle), F.when(month_first, middle).otherwise(first)
-    return F.struct(
-        _text(text, pattern, year).cast("int").alias("y"),
-        middle.alias("m"),
-        first.alias("d"),
-        _text(text, pattern, clock).cast("int").alias("h"),
-        _text(text, pattern, clock + 1).cast("int").alias("mi"),
-        F.coalesce(_text(text, pattern, clock + 2).cast("int"), F.lit(0)).alias("s"),
-        F.rpad(F.coalesce(_text(text, pattern, clock + 3), F.lit("0")), 6, "0").substr(1, 6).cast("int").alias("us"),
-        F.upper(_text(text, pattern, clock + 4)).alias("half"),
-        _text(text, pattern, clock + 5).alias("zone"),
+def _groups(text: Column) -> Column:
+    """The shape of a written moment and its groups (year, month, day, hour, minute, second, fraction, half, zone), each pattern applied once."""
+    dense = text.rlike(r"^(?:19|20)\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])(?:[T ]?\d{4}(?:\d{2})?.*)?$") & ~text.rlike(r"^\d{9,13}$")
+    found = None
+    for name, (pattern, year, month, day, clock) in _SHAPES.items():
+        groups = [year, month, day, *range(clock, clock + 6)]
+        made = F.split(F.regexp_replace(text, pattern, name + "".join(f"\u0001${g}" for g in groups)), "\u0001")
+        test = dense if name == "compact" else text.rlike(pattern)
+        found = F.when(test, made) if found is None else found.when(test, made)
+    return F.when(text.rlike("\u0001"), F.lit(None)).otherwise(found)
+
+
+def _parts(groups: Column, month_first: Column) -> Column:
+    """The groups of :func:`_groups` as numbers; null where the pattern of a dense date did not match."""
+    name = groups[0]
+    at = lambda i: F.nullif(F.get(groups, F.lit(i)), F.lit(""))
+    second = F.when(name.isin("day_name", "name_day"), _month_number(at(2))).otherwise(F.expr("try_cast(nullif(_g[2], '') as int)"))
+    third = at(3).cast("int")
+    swap = (name == "numeric") & month_first
+    made = F.struct(
+        at(1).cast("int").alias("y"),
+        F.when(swap, third).otherwise(second).alias("m"),
+        F.when(swap, second).otherwise(third).alias("d"),
+        at(4).cast("int").alias("h"),
+        at(5).cast("int").alias("mi"),
+        F.coalesce(at(6).cast("int"), F.lit(0)).alias("s"),
+        F.rpad(F.coalesce(at(7), F.lit("0")), 6, "0").substr(1, 6).cast("int").alias("us"),
+        F.upper(at(8)).alias("half"),
+        at(9).alias("zone"),
     )
+    return F.when(F.size(groups) == 10, made)
 
 
 def parse_written(text: Column, month_first: Column) -> Column:
@@ -116,11 +128,6 @@ def parse_written(text: Column, month_first: Column) -> Column:
         .when(size.between(15, 16), value)
         .when(size.between(18, 19), value / 1000)
     )
-    dense = bare.rlike(r"^(?:19|20)\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])(?:[T ]?\d{4}(?:\d{2})?.*)?$") & ~bare.rlike(r"^\d{9,13}$")
-    parts = F.when(dense, _shape(bare, "compact", month_first))
-    for name in _SHAPES:
-        if name != "compact":
-            parts = parts.when(bare.rlike(_SHAPES[name][0]), _shape(bare, name, month_first))
     p = F.col("_p")
     hour = F.when(p["half"].isNull(), p["h"]).when(
         p["h"].between(1, 12), F.pmod(p["h"], F.lit(12)) + F.when(p["half"] == "P", 12).otherwise(0)
@@ -132,7 +139,8 @@ def parse_written(text: Column, month_first: Column) -> Column:
     return {
         "_w": bare,
         "_epoch": F.floor(epoch).cast("bigint"),
-        "_p": parts,
+        "_g": _groups(F.col("_w")),
+        "_p": _parts(F.col("_g"), month_first),
         "_day": day.cast("bigint"),
         "_h": hour,
         "_local": F.when(clock_ok, local),
@@ -157,6 +165,7 @@ def to_utc(
     zone: str,
     month_first: str,
     out: str = "utc_us",
+    reading: str | None = None,
     zones: list[str] | None = None,
 ) -> DataFrame:
     """``values`` with ``out``: microseconds since 1970 UTC of the moment or day written in ``text``.
@@ -168,25 +177,26 @@ def to_utc(
 
     Zones are known for all years: before the first change by mean local time, in far years by the rules in force last.
 
+    ``reading`` names a column that says how the value was read: ``epoch``, ``day``, ``stated`` (an offset or zone letters),
+    ``direct`` (one interval holds the local time), ``repeated`` (two do) or ``skipped`` (none does); null where ``out`` is.
+
     ``out`` is null for null, empty and unreadable texts, for days and clock times that do not exist. Repeated rows stay,
     extra columns stay whatever their names (a column named ``out`` is replaced), empty tables stay empty. ``zones``
-    bounds the zone names of the interval table (default: all IANA names, about 600).
+    bounds the zone names of the interval table (default: those that occur, found by one pass over the two columns).
 
-    No shuffle: the interval table is bounded by zone names times years and is broadcast.
+    No shuffle of rows: the interval table is bounded by IANA zone names (about 600) times years and is broadcast.
     """
-    import zoneinfo
-
     spark = values.sparkSession
     steps = parse_written(F.col("_text"), F.coalesce(F.col("_first"), F.lit(False)))
-    row = F.struct(*[F.col(f"`{c}`") for c in values.columns if c != out]).alias("_row")
+    row = F.struct(*[F.col(f"`{c}`") for c in values.columns if c not in (out, reading)]).alias("_row")
     parsed = values.select(row, F.col(text).alias("_text"), F.col(zone).alias("_zone"), F.col(month_first).alias("_first"))
-    parsed = parsed.withColumn("_w", steps["_w"]).withColumn("_epoch", steps["_epoch"]).withColumn("_p", steps["_p"])
+    parsed = parsed.withColumn("_w", steps["_w"]).withColumn("_epoch", steps["_epoch"]).withColumn("_g", steps["_g"]).withColumn("_p", steps["_p"])
     parsed = parsed.withColumn("_day", steps["_day"]).withColumn("_h", steps["_h"]).withColumn("_local", steps["_local"])
     said = F.col("_p.zone")
     offset = r"^(?:UTC|GMT)?([+\-−])(\d{1,2}):?(\d{2})?"
     minutes = F.regexp_extract(said, offset, 2).cast("int") * 60 + F.coalesce(_text(said, offset, 3).cast("int"), F.lit(0))
     minutes = F.when(F.regexp_extract(said, offset, 1) == "+", minutes).otherwise(-minutes)
-    named = F.regexp_extract(said, r"([A-Z][A-Za-z_]+/[A-Za-z_+\-0-9/]+)", 1)
+    named = F.regexp_extract(said, _ZONE_NAME, 1)
     parsed = parsed.withColumn(
         "_stated",
         F.when(said.rlike(offset), minutes).when(said.isNotNull() & (named == ""), _letters_offset(F.upper(said), F.coalesce(F.col("_zone"), F.lit("")))),
@@ -197,17 +207,35 @@ def to_utc(
     )
     year, behind = place_in_time(F.when(F.col("_day").isNotNull(), F.col("_p.y")))
     parsed = parsed.withColumn("local_year", F.when(F.col("_stated").isNull() & ~F.col("_unread"), year))
-    spans = zone_table(spark, zones if zones is not None else list(zoneinfo.available_timezones()))
-    joined = parsed.join(F.broadcast(spans), ["zone_id", "local_year"], "left")
+    spans = zone_table(spark, zones if zones is not None else _zones_used(values, text, zone))
     second = F.floor(F.col("_local") / 1000000) - behind.cast("bigint") * 86400
-    joined = joined.withColumn("_hit", F.filter("spans", lambda s: (s["local_start"] <= second) & (second < s["local_end"])))
-    before = F.filter("spans", lambda s: s["local_end"] <= second)
+    parsed = parsed.withColumn("_second", second)
+    # The last interval that begins at or before the local time; with it come its own end and the end of the one before.
+    at = (F.col("_second") >= F.col("local_start")) & (F.col("_second") < F.col("until"))
+    left, right = parsed.alias("l"), F.broadcast(spans).alias("r")
+    same = (F.col("l.zone_id") == F.col("r.zone_id")) & (F.col("l.local_year") == F.col("r.local_year"))
+    joined = left.join(right, same & at, "left")
+    holding = (F.col("_second") < F.col("local_end")).cast("int") + (F.col("_second") < F.col("before_end")).cast("int")
     seconds = (
         F.when(F.col("_stated").isNotNull(), F.col("_stated") * 60)
-        .when(F.col("spans").isNull(), 0)
-        .when(F.size("_hit") >= 1, F.try_element_at("_hit", F.lit(1))["offset_s"])
-        .otherwise(F.try_element_at(before, F.lit(-1))["offset_s"])
+        .when(F.col("offset_s").isNull(), 0)
+        .when(holding == 2, F.col("before_offset_s"))
+        .otherwise(F.col("offset_s"))
     )
     moment = F.when(~F.col("_unread"), F.col("_local") - seconds.cast("bigint") * 1000000)
     instant = F.coalesce(F.col("_epoch"), F.when(F.col("_p.h").isNull(), F.col("_day") * F.lit(86400000000)).otherwise(moment))
-    return joined.select("_row.*", instant.alias(out))
+    told = F.when(F.col("_epoch").isNotNull(), "epoch").when(F.col("_p.h").isNull(), "day").when(F.col("_stated").isNotNull(), "stated")
+    told = told.when(holding == 2, "repeated").when(holding == 0, "skipped").otherwise("direct")
+    extra = [F.when(instant.isNotNull(), told).alias(reading)] if reading else []
+    return joined.select("_row.*", instant.alias(out), *extra)
+
+
+def _zones_used(values: DataFrame, text: str, zone: str) -> list[str]:
+    """The known zone names in the zone column or within the texts; at most as many as there are IANA names."""
+    import zoneinfo
+
+    named = F.regexp_extract(F.col(text), _ZONE_NAME, 1)
+    names = values.select(F.explode(F.array(F.coalesce(F.col(zone), F.lit("UTC")), F.coalesce(named, F.lit("")))).alias("n")).where(
+        F.col("n").isin(sorted(zoneinfo.available_timezones()))
+    )
+    return [r.n for r in names.distinct().collect()]
