@@ -1,8 +1,9 @@
 """Freely typed values mapped to the entries of a reference list by a prefix-filter set-similarity join.
 
-Both sides become sets of letters and letter pairs. Tokens are ordered by their rarity over both sides; two sets that reach the
+Both sides become sets of letter pairs and triples. Tokens are ordered by their rarity over both sides; two sets that reach the
 Jaccard threshold must share a token among their rarest ones, so only those prefixes are joined. Length and positional filters
-come before the exact Jaccard; the best entry is kept and an edit check decides whether it is meant.
+come before the exact Jaccard, which decides: the entry with the greatest one is kept. Close to the threshold, where short keys
+lie, an edit check follows.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.lookalikes import Rewriter, form_rewrites
+from postloom.llm.lookalikes import Classes, Counts, Rewriter, letter_counts, lookalike_classes, rewriter
 from postloom.session import checkpoint_ready
 
 #: Words that say how or where near a place work is done, not which place; stripped from the ends of a segment.
@@ -73,35 +74,37 @@ def segments(text: str | None, plain: Rewriter) -> list[str]:
     return list(dict.fromkeys(p.replace(" ", "") for p in parts))
 
 
-def parts_of(text: Column) -> Column:
+def parts_of(text: Column, counts: Counts, classes: Classes) -> Column:
     """:func:`segments` as a column (array of glued parts), by Arrow batches."""
 
     @F.pandas_udf("array<string>")
     def cut(values: pd.Series) -> pd.Series:
-        form_rewrites()
-        plain = Rewriter({})
+        plain = rewriter(counts, classes)
         return values.map(lambda v: segments(v, plain))
 
     return cut(text)
 
 
 def tokens_of(key: Column) -> Column:
-    """The distinct letters and padded letter pairs of a key."""
+    """The distinct padded letter pairs and letter triples of a key; triples are the rare ones the join lives on."""
     padded = F.concat(F.lit("^"), key, F.lit("$"))
-    letters = F.transform(F.sequence(F.lit(1), F.length(key)), lambda i: F.substring(key, i, F.lit(1)))
     pairs = F.transform(F.sequence(F.lit(1), F.length(key) + 1), lambda i: F.substring(padded, i, F.lit(2)))
-    return F.when(F.length(key) > 0, F.array_distinct(F.concat(letters, pairs)))
+    triples = F.transform(F.sequence(F.lit(1), F.length(key)), lambda i: F.substring(padded, i, F.lit(3)))
+    return F.when(F.length(key) > 0, F.array_distinct(F.concat(pairs, triples)))
 
 
-def similar_keys(left: DataFrame, right: DataFrame, *, threshold: float = 0.5, group: str = "kind") -> DataFrame:
+def similar_keys(left: DataFrame, right: DataFrame, *, threshold: float = 0.5, group: str = "kind", most: int = 10_000) -> DataFrame:
     """Pairs (``group``, ``key``, ``other``, ``jaccard``) of keys whose token sets reach ``threshold`` within a group.
 
     ``left`` and ``right`` have ``group`` and ``key``; ``right`` is the reference list. Null and empty keys have no pair;
     repeated keys count once. Exact: every pair at or above the threshold is returned, no candidate is capped.
 
-    The join is on rare tokens only. Both sides are shuffled by token unless adaptive execution finds one small at run time;
-    it also splits hot tokens. Only the token counts, a table of fixed size, are broadcast.
+    The join is on rare tokens only. Both sides are shuffled by token; a token with more than ``most`` keys is cut into salted
+    parts by the key of the left side. Rows carry keys, not sets: what passes the length and positional filters is made distinct
+    and its Jaccard counted once. Only the token counts, a table of fixed size, are broadcast.
     """
+    spark = left.sparkSession
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     sides = left.select(group, "key", F.lit(0).alias("side")).unionByName(right.select(group, "key", F.lit(1).alias("side")))
     sides = sides.where("key <> ''").distinct()
     exploded = sides.select(group, "key", "side", F.explode(tokens_of(F.col("key"))).alias("token"))
@@ -109,23 +112,30 @@ def similar_keys(left: DataFrame, right: DataFrame, *, threshold: float = 0.5, g
     rarity = exploded.groupBy("bucket").agg(F.count("*").alias("df"))
     ranked = exploded.join(F.broadcast(rarity), "bucket")
     sets = ranked.groupBy(group, "key", "side").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("r"))
-    sets = sets.select(group, "key", "side", F.col("r.token").alias("set"), F.size("r").alias("n"))
-    prefix = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1
-    heads = sets.select(group, "key", "side", "set", "n", F.posexplode(F.slice("set", F.lit(1), prefix)).alias("i", "token"))
-    a = heads.where("side = 0").select(group, "token", "key", F.col("set").alias("sa"), F.col("n").alias("na"), F.col("i").alias("ia"))
-    b = heads.where("side = 1").select(group, "token", F.col("key").alias("other"), F.col("set").alias("sb"), F.col("n").alias("nb"), F.col("i").alias("ib"))
-    joined = a.join(b, [group, "token"])
+    n = F.size("r")
+    prefix = n - F.ceil(F.lit(threshold) * n - 1e-9).cast("int") + 1
+    heads = sets.select(group, "key", "side", n.alias("n"), F.posexplode(F.slice("r", F.lit(1), prefix)).alias("i", "x"))
+    heads = heads.select(group, "key", "side", "n", "i", "x.token", F.ceil(F.col("x.df") / most).cast("int").alias("salts"))
+    a = heads.where("side = 0").select(
+        group, "token", "key", F.col("n").alias("na"), F.col("i").alias("ia"), F.pmod(F.xxhash64("key"), F.col("salts")).cast("int").alias("salt")
+    )
+    b = heads.where("side = 1").select(
+        group, "token", F.col("key").alias("other"), F.col("n").alias("nb"), F.col("i").alias("ib"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    )
+    keys = [group, "token", "salt"]
+    joined = a.repartition(parts, *keys).join(b.repartition(parts, *keys), keys)
     least = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("na") + F.col("nb")) - 1e-9)
     within = (F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - 1e-9) & (
         1 + F.least(F.col("na") - F.col("ia") - 1, F.col("nb") - F.col("ib") - 1) >= least
     )
-    shared = F.size(F.array_intersect("sa", "sb"))
-    pairs = joined.where(within).withColumn("_o", shared).withColumn("jaccard", F.col("_o") / (F.col("na") + F.col("nb") - F.col("_o")))
-    return pairs.where(F.col("jaccard") >= threshold - 1e-9).select(group, "key", "other", "jaccard").distinct()
+    pairs = joined.where(within).select(group, "key", "other", "na", "nb").repartition(parts, "key", "other").distinct()
+    pairs = pairs.withColumn("_o", F.size(F.array_intersect(tokens_of(F.col("key")), tokens_of(F.col("other")))))
+    pairs = pairs.withColumn("jaccard", F.col("_o") / (F.col("na") + F.col("nb") - F.col("_o")))
+    return pairs.where(F.col("jaccard") >= threshold - 1e-9).select(group, "key", "other", "jaccard")
 
 
 def _one_edit(a: Column, b: Column) -> Column:
-    """One letter inserted, dropped or replaced, or two neighbours exchanged."""
+    """Whether one letter is inserted, dropped or replaced, or two neighbours are exchanged."""
     near = F.levenshtein(a, b)
     same_letters = F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, ""))
     first = F.length(F.regexp_extract(F.concat(a, F.lit("\n"), b), r"^(.*).*\n\1.*$", 1))
@@ -135,47 +145,49 @@ def _one_edit(a: Column, b: Column) -> Column:
         & (near == 2)
         & (F.substring(a, first + 3, F.length(a)) == F.substring(b, first + 3, F.length(b)))
     )
-    return F.when(a == b, 0).when((near <= 1) | swapped, 1)
+    return (near <= 1) | swapped
 
 
 def map_values(
     values: DataFrame,
     entries: DataFrame,
     *,
-    threshold: float = 0.5,
-    shortest: int = 5,
+    threshold: float = 0.4,
+    sure: float = 0.65,
 ) -> DataFrame:
     """(``kind``, ``text``, ``ref``, ``jaccard``): the entry that each distinct typed value means; ``ref`` null for none.
 
-    ``values`` has ``kind`` and ``text``; ``entries`` has ``kind``, ``key`` (glued and folded), ``ref``, ``fuzzy`` (whether one
-    edit is allowed) and ``hints`` (folded strings that tell entries with the same key apart, such as region and country).
+    ``values`` has ``kind`` and ``text``; ``entries`` has ``kind``, ``key`` (glued and folded), ``ref``, ``fuzzy`` (whether the key may
+    be written inexactly) and ``hints`` (folded strings that tell entries with the same key apart, such as region and country). An
+    entry whose ``ref`` is null is known to mean no entry: what is most similar to it names nothing.
 
-    A typed value is cut into parts; a part that equals or nearly equals a key names its entries (closest first, then the
-    greater Jaccard), the other parts are hints. Entries named by several parts must agree. Of several entries the one is
-    meant for which a part is a hint; several or none left means no entry. Fuzzy matches need ``shortest`` characters.
+    A typed value is cut into parts; a part names the entries of the key with the greatest Jaccard, the other parts are hints. From
+    ``sure`` upwards the Jaccard alone decides; between ``threshold`` and ``sure`` keys must also lie one edit apart, as short keys
+    do. Entries named by several parts must agree. Of several entries the one is meant for which a part is a hint; several or none
+    left means no entry.
 
     Null and blank values mean no entry. Values are looked at once however often they are repeated; very long texts are cut
     like any other. Empty inputs give no rows. Only distinct values are shuffled.
     """
     distinct = values.select("kind", "text").distinct()
     checkpoint_ready(values.sparkSession)
-    parts = distinct.withColumn("parts", F.array_distinct(parts_of(F.col("text")))).checkpoint()
+    counts, classes = letter_counts(distinct, "text"), lookalike_classes(values.sparkSession)
+    parts = distinct.withColumn("parts", F.array_distinct(parts_of(F.col("text"), counts, classes))).checkpoint()
     entries = entries.checkpoint()
     keys = parts.select("kind", F.explode("parts").alias("key")).distinct()
     pairs = similar_keys(keys, entries.select("kind", "key"), threshold=threshold)
-    close = pairs.withColumn("distance", _one_edit(F.col("key"), F.col("other"))).where("distance is not null")
+    close = pairs.where((F.col("jaccard") >= sure) | _one_edit(F.col("key"), F.col("other")))
     named = entries.groupBy("kind", F.col("key").alias("other")).agg(
-        F.collect_set(F.struct("ref", "hints")).alias("entries"), F.max("fuzzy").alias("fuzzy")
+        F.collect_set(F.when(F.col("ref").isNotNull(), F.struct("ref", "hints"))).alias("entries"), F.max("fuzzy").alias("fuzzy")
     )
-    close = close.join(named, ["kind", "other"])
-    close = close.where((F.col("distance") == 0) | (F.col("fuzzy") & (F.length("key") >= shortest)))
-    best = close.groupBy("kind", "key").agg(F.min(F.struct("distance", (-F.col("jaccard")).alias("j"))).alias("b"), F.collect_list(F.struct("distance", (-F.col("jaccard")).alias("j"), "entries")).alias("all"))
-    best = best.select(
+    close = close.join(named, ["kind", "other"]).where((F.col("key") == F.col("other")) | F.col("fuzzy"))
+    found = close.groupBy("kind", "key").agg(F.max("jaccard").alias("jaccard"), F.collect_list(F.struct("jaccard", "entries")).alias("all"))
+    best = found.select(
         "kind",
         "key",
-        F.array_distinct(F.flatten(F.transform(F.filter("all", lambda x: (x["distance"] == F.col("b.distance")) & (x["j"] == F.col("b.j"))), lambda x: x["entries"]))).alias("entries"),
-        (-F.col("b.j")).alias("jaccard"),
-    )
+        F.array_distinct(F.flatten(F.transform(F.filter("all", lambda x: x["jaccard"] == F.col("jaccard")), lambda x: x["entries"]))).alias("entries"),
+        "jaccard",
+    ).where(F.size("entries") > 0)
     spread = parts.select("kind", "text", "parts", F.explode_outer("parts").alias("key"))
     found = spread.join(best, ["kind", "key"], "left")
     told = found.groupBy("kind", "text").agg(
@@ -194,8 +206,11 @@ def map_values(
 
 
 def place_entries(places: DataFrame, countries: DataFrame) -> DataFrame:
-    """Entries of both kinds: places under ``locations`` (name, other name, name with country) and countries under ``countries``."""
-    glue = F.pandas_udf(lambda s: s.map(lambda v: None if v is None else folded(v, Rewriter({})).replace(" ", "")), "string")
+    """Entries of both kinds: places under ``locations`` (name, other name, name with country) and countries under ``countries``.
+
+    The names of countries stand under ``locations`` too, as entries that mean none."""
+    classes = lookalike_classes(places.sparkSession)
+    glue = F.pandas_udf(lambda s: s.map(lambda v: None if v is None else folded(v, rewriter((), classes)).replace(" ", "")), "string")
     lands = countries.select(
         F.col("country_code").alias("code"),
         F.filter(F.transform(F.concat(F.array("name"), F.coalesce("other_names", F.array().cast("array<string>"))), lambda n: n), lambda n: n.isNotNull()).alias("names"),
@@ -222,4 +237,6 @@ def place_entries(places: DataFrame, countries: DataFrame) -> DataFrame:
     )
     plain = spots.select(F.lit("locations").alias("kind"), "key", "ref", F.lit(True).alias("fuzzy"), "hints")
     landed = spots.where("land is not null").select(F.lit("locations").alias("kind"), F.concat("key", "land").alias("key"), "ref", F.lit(True).alias("fuzzy"), "hints")
-    return plain.unionByName(landed).unionByName(of_lands).where("key <> ''").distinct()
+    # A country alone is no place: where a place is wanted, its names mean no entry.
+    bare = of_lands.select(F.lit("locations").alias("kind"), "key", F.lit(None).cast("string").alias("ref"), F.lit(False).alias("fuzzy"), "hints")
+    return plain.unionByName(landed).unionByName(of_lands).unionByName(bare).where("key <> ''").distinct()

@@ -2,9 +2,10 @@
 
 Two kinds of classes are found by union-find over strings and code points. *Form* classes join a character with its plain
 composed form (full-width, mathematical, ligature, decomposed, no-break and invisible characters); their representative is that
-plain form. *Look-alike* classes join, transitively, plain letters of different scripts that look the same; each has, for every
-script, the member that the corpus uses most. Texts are rewritten greedily, longest match first, by one multi-pattern automaton
-for the forms; letters of a look-alike class are rewritten only inside words whose letters mix look-alike scripts.
+plain form. *Look-alike* classes join, transitively, the letters that the Unicode confusables data (as ICU ships it with Spark)
+gives the same skeleton; the representative of a class in a script and letter case is the ordinary member that the corpus uses
+most. Texts are rewritten greedily, longest match first, by multi-pattern automata: forms everywhere, letters of a look-alike class
+inside words whose letters mix look-alike scripts, phonetic letters that look like an ordinary letter of their script everywhere.
 """
 
 from __future__ import annotations
@@ -15,24 +16,20 @@ from collections import Counter, defaultdict
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Letters that look like a Latin letter, as pairs (letter, Latin letter).
-LOOKALIKES = {
-    "Cyrillic": "аa еe оo рp сc уy хx іi јj ѕs ԁd һh ԛq ԝw кk АA ВB ЕE ЅS ІI ЈJ КK МM НH ОO РP СC ТT УY ХX ԌG ԚQ ԜW",
-    "Greek": "οo νv υu ιi αa ρp κk τt χx γy ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX ϳj ͿJ",
-    "Armenian": "օo սu հh ոn ցg զq ՕO ՍU ԼL ՏS",
-    "Cherokee": "ᎪA ᏴB ᏟC ᎠD ᎬE ᎻH ᎫJ ᏦK ᏞL ᎷM ᏢP ᎡR ᏚS ᎢT ᏙV ᎳW ᏃZ",
-}
-#: Phonetic letters that look like a plain Latin letter.
-VARIANTS = {"ɡ": "g", "ɑ": "a"}
+SCRIPTS = ("Latin", "Greek", "Cyrillic", "Armenian", "Cherokee")
+#: Letters of the scripts that plain words are written with; only they stand for a class.
+ORDINARY_BLOCKS = {"Latin": (0x41, 0x180), "Greek": (0x370, 0x3D0), "Cyrillic": (0x400, 0x460), "Armenian": (0x530, 0x590), "Cherokee": (0x13A0, 0x13F6)}
+#: Blocks of phonetic letters.
+PHONETIC_BLOCKS = ((0x250, 0x2B0), (0x1D00, 0x1D80))
+#: Small letters with the shape of a Latin one that the confusables data join with small capitals only.
+ALSO_ALIKE = ("κk", "кk", "τt", "χx")
 #: Ordinary letters that compatibility decomposition would take apart.
 ORDINARY = {"ª", "º", "ำ", "ຳ", "ໜ", "ໝ"}
 #: Characters without a glyph that are neither format nor control characters.
 BLANKS = "͏ᅟᅠ឴឵᠋᠌᠍᠏ㅤﾠ"
-SCRIPTS = ("Latin", "Greek", "Cyrillic", "Armenian", "Cherokee")
-
 #: Texts of these characters only are in the consistent form already; everything else goes through the automaton.
 _PLAIN = "\\x20-\\x7E\\t\\r\\n" + "".join(
     chr(c) for c in range(0xC0, 0x180) if unicodedata.normalize("NFKC", chr(c)) == chr(c) and chr(c).isalpha()
@@ -40,13 +37,6 @@ _PLAIN = "\\x20-\\x7E\\t\\r\\n" + "".join(
 SUSPECT = f"[^{_PLAIN}]"
 
 
-_OTHERS = ["IsLatin", "IsGreek", "IsCyrillic", "IsArmenian"]
-#: Words that mix look-alike scripts, also where no representative exists that could put them right.
-MIXED = "|".join(
-    rf"\p{{{a}}}[\p{{L}}\p{{M}}\p{{N}}]*[{''.join(rf'\p{{{b}}}' for b in _OTHERS if b != a)}]" for a in _OTHERS
-)
-
-
 class UnionFind:
     """Disjoint sets of strings; the classes are transitive by construction."""
 
@@ -72,16 +62,6 @@ class UnionFind:
         return [sorted(g) for g in groups.values() if len(g) > 1]
 
 
-@lru_cache(maxsize=1)
-def lookalike_classes() -> tuple[tuple[str, ...], ...]:
-    """The look-alike classes over plain letters."""
-    sets = UnionFind()
-    for pairs in LOOKALIKES.values():
-        for letter, latin in pairs.split():
-            sets.union(letter, latin)
-    return tuple(tuple(c) for c in sets.classes())
-
-
 @lru_cache(maxsize=None)
 def script_of(letter: str) -> str | None:
     """The script of a letter when it is one that look-alikes are known for."""
@@ -91,6 +71,25 @@ def script_of(letter: str) -> str | None:
     return name if name in SCRIPTS else None
 
 
+_CLASSES: list[tuple[tuple[str, ...], ...]] = []
+
+
+def lookalike_classes(spark: SparkSession) -> tuple[tuple[str, ...], ...]:
+    """The look-alike classes over letters of :data:`SCRIPTS`, read once from the confusables data on Spark's class path."""
+    if not _CLASSES:
+        letters = [c for c in map(chr, range(0x41, 0x1F000)) if script_of(c) and unicodedata.normalize("NFKC", c) == c == unicodedata.normalize("NFD", c)]
+        checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+        sets = UnionFind()
+        for letter, skeleton in zip(letters, checker.getSkeleton("\n".join(letters)).split("\n")):
+            sets.union(letter, skeleton)
+        for a, b in ALSO_ALIKE:
+            sets.union(a, b)
+        known = set(letters)
+        made = ([c for c in group if c in known] for group in sets.classes())
+        _CLASSES.append(tuple(tuple(c) for c in sorted(made) if len(c) > 1))
+    return _CLASSES[0]
+
+
 @lru_cache(maxsize=1)
 def form_rewrites() -> dict[str, str]:
     """Every string that is not in its plain composed form, with that form; union-find joins chains of forms."""
@@ -120,123 +119,159 @@ def form_rewrites() -> dict[str, str]:
         elif apart != c:
             sets.union(apart, c)
             plain[c] = c
-    for c, target in VARIANTS.items():
-        sets.union(c, target)
-        plain[target] = target
     for point in [*range(0x00, 0x09), 0x0B, 0x0C, *range(0x0E, 0x20), 0x7F]:
         invisible[chr(point)] = ""
     rewrites = dict(invisible)
     for members in sets.classes():
-        best = next((m for m in sorted(members, key=lambda m: (len(m), m)) if m in plain and unicodedata.normalize("NFKC", m) == m and m not in VARIANTS), None)
+        best = next((m for m in sorted(members, key=lambda m: (len(m), m)) if m in plain and unicodedata.normalize("NFKC", m) == m), None)
         if best is not None:
             rewrites |= {m: best for m in members if m != best}
     return rewrites
 
 
-@lru_cache(maxsize=1)
-def _automaton():
+def _machine(rewrites: dict):
     import ahocorasick
 
     machine = ahocorasick.Automaton()
-    for text, target in form_rewrites().items():
+    for text, target in rewrites.items():
         machine.add_word(text, (len(text), target))
     machine.make_automaton()
     return machine
 
 
+def _rewritten(text: str, machine, target=lambda found: found) -> str:
+    """``text`` with every match of ``machine`` rewritten, longest first; matches whose target is None are kept."""
+    out, at = [], 0
+    for end, (size, found) in machine.iter_long(text):
+        new = target(found)
+        if new is not None:
+            out.append(text[at : end - size + 1])
+            out.append(new)
+            at = end + 1
+    return "".join(out) + text[at:] if at else text
+
+
+@lru_cache(maxsize=1)
+def _forms():
+    return _machine(form_rewrites())
+
+
 def plain_form(text: str) -> str:
     """``text`` with every form rewritten, longest match first, and marks composed."""
-    out, at = [], 0
-    for end, (size, target) in _automaton().iter_long(text):
-        out.append(text[at : end - size + 1])
-        out.append(target)
-        at = end + 1
-    out.append(text[at:])
-    return unicodedata.normalize("NFC", "".join(out)) if at or not text.isascii() else text
+    return text if text.isascii() and text.isprintable() else unicodedata.normalize("NFC", _rewritten(text, _forms()))
+
+
+def _ordinary(letter: str) -> bool:
+    first, end = ORDINARY_BLOCKS[script_of(letter)]
+    return first <= ord(letter) < end
 
 
 class Rewriter:
-    """Rewrites look-alike letters in mixed words by the representatives that a corpus' letter counts give."""
+    """Rewrites look-alike letters by the representatives that a corpus' letter counts give."""
 
-    def __init__(self, counts: dict[str, int]) -> None:
+    def __init__(self, counts: dict[str, int], classes: tuple[tuple[str, ...], ...]) -> None:
         self.common = Counter({s: 0 for s in SCRIPTS})
-        self.member: dict[str, dict[str, str]] = {}
         for letter, n in counts.items():
             if script := script_of(letter):
                 self.common[script] += n
-        for group in lookalike_classes():
-            best: dict[str, str] = {}
-            for letter in sorted(group, key=lambda c: (-counts.get(c, 0), c)):
-                best.setdefault(script_of(letter) or "", letter)
+        self.member: dict[str, dict[str, str]] = {}
+        phonetic: dict[str, str] = {}
+        for group in classes:
+            best: dict[tuple[str, bool], str] = {}
+            for letter in sorted(filter(_ordinary, group), key=lambda c: (-counts.get(c, 0), c)):
+                best.setdefault((script_of(letter), letter.isupper()), letter)
             for letter in group:
-                self.member[letter] = best
+                self.member[letter] = {script: c for (script, upper), c in best.items() if upper == letter.isupper()}
+                if any(first <= ord(letter) < end for first, end in PHONETIC_BLOCKS) and script_of(letter) in self.member[letter]:
+                    phonetic[letter] = self.member[letter][script_of(letter)]
+        self.phonetic = _machine(phonetic) if phonetic else None
+        self.letters = _machine({letter: letter for letter in self.member}) if self.member else None
 
     def word(self, word: str) -> str:
+        """``word`` in one script if it mixes look-alike scripts: the script that most of its letters can be written in."""
         scripts = {s for c in word if (s := script_of(c))}
         if len(scripts) < 2:
             return word
-        sure, every = Counter(), Counter()
         apart = unicodedata.normalize("NFD", word)
+        own, foreign = Counter(), Counter()
         for c in apart:
             if s := script_of(c):
-                every[s] += 1
-                sure[s] += c not in self.member
-        target = max(sorted(scripts), key=lambda s: (sure[s], every[s], self.common[s]))
-        swapped = (self.member[c].get(target, c) if c in self.member and script_of(c) != target else c for c in apart)
-        return unicodedata.normalize("NFC", "".join(swapped))
+                own[s] += 1
+                for other in scripts - {s}:
+                    foreign[other] += other not in self.member.get(c, ())
+        target = max(sorted(scripts), key=lambda s: (-foreign[s], own[s], self.common[s]))
+        return unicodedata.normalize("NFC", _rewritten(apart, self.letters, lambda c: None if script_of(c) == target else self.member[c].get(target)))
 
     def text(self, text: str) -> str:
+        return self.read(text)[0]
+
+    def read(self, text: str) -> tuple[str, bool]:
+        """The consistent form of ``text`` and whether it has words that mix scripts, put right or not."""
         plain = plain_form(text)
         if plain.isascii():
-            return plain
-        out, word = [], []
-        for c in plain:
+            return plain, False
+        if self.phonetic:
+            plain = _rewritten(plain, self.phonetic)
+        out, word, mixed = [], [], False
+        for c in [*plain, " "]:
             if c.isalnum() or unicodedata.category(c)[0] == "M":
                 word.append(c)
-            else:
-                if word:
-                    out.append(self.word("".join(word)))
-                    word = []
-                out.append(c)
-        out.append(self.word("".join(word)))
-        return "".join(out)
-
-
+                continue
+            if word:
+                whole = "".join(word)
+                mixed |= len({s for x in whole if (s := script_of(x))}) > 1
+                out.append(self.word(whole))
+                word = []
+            out.append(c)
+        return "".join(out)[:-1], mixed
+
+
+Counts = tuple[tuple[str, int], ...]
+Classes = tuple[tuple[str, ...], ...]
 _REWRITERS: dict[tuple, Rewriter] = {}
 
 
-def rewriter(counts: tuple[tuple[str, int], ...]) -> Rewriter:
+def rewriter(counts: Counts, classes: Classes) -> Rewriter:
     """The rewriter of these counts, built once a process."""
-    if counts not in _REWRITERS:
+    if (counts, classes) not in _REWRITERS:
         _REWRITERS.clear()
-        _REWRITERS[counts] = Rewriter(dict(counts))
-    return _REWRITERS[counts]
+        _REWRITERS[counts, classes] = Rewriter(dict(counts), classes)
+    return _REWRITERS[counts, classes]
 
 
-def letter_counts(texts: DataFrame, text: str) -> tuple[tuple[str, int], ...]:
+def letter_counts(texts: DataFrame, text: str) -> Counts:
     """How often the corpus uses each letter of a look-alike class.
 
-    Counted over all rows, combined before the shuffle; the result is bounded by the members of the classes (under 200).
+    Counted over all rows: each Arrow batch gives one row a letter, sums are combined before the shuffle; what is gathered is
+    bounded by the members of the classes (under 1,000).
     """
-    letters = sorted({c for group in lookalike_classes() for c in group})
-    only = F.regexp_replace(F.col(text), f"[^{''.join(letters)}]", "")
-    found = texts.select(F.explode(F.split(only, "")).alias("c")).where("c <> ''").groupBy("c").count()
-    return tuple(sorted((r["c"], r["count"]) for r in found.collect()))
+    letters = frozenset(c for group in lookalike_classes(texts.sparkSession) for c in group)
+
+    def count(batches):
+        for batch in batches:
+            found = Counter("".join(batch["t"]))
+            rows = [(c, n) for c, n in found.items() if c in letters]
+            yield pd.DataFrame({"c": [c for c, _ in rows], "n": [n for _, n in rows]})
+
+    known = texts.select(F.col(text).alias("t")).where("t is not null")
+    found = known.mapInPandas(count, "c string, n bigint").groupBy("c").agg(F.sum("n").alias("n"))
+    return tuple(sorted((r.c, r.n) for r in found.collect()))
 
 
-def consistent(text: Column, counts: tuple[tuple[str, int], ...]) -> Column:
-    """The consistent form of ``text``; null stays null, empty stays empty, plain texts are not sent to Python's automaton."""
+def consistent(text: Column, counts: Counts, classes: Classes) -> Column:
+    """STRUCT<plain, mixed>: the consistent form of ``text`` and whether words in it mix scripts; null stays null, empty stays empty."""
 
-    @F.pandas_udf("string")
-    def rewrite(values: pd.Series) -> pd.Series:
-        make = rewriter(counts).text
-        seen: dict[str, str] = {}
-        return values.map(lambda v: None if v is None else seen[v] if v in seen else seen.setdefault(v, make(v)))
+    @F.pandas_udf("plain string, mixed boolean")
+    def rewrite(values: pd.Series) -> pd.DataFrame:
+        make = rewriter(counts, classes).read
+        seen: dict[str | None, tuple[str | None, bool]] = {None: (None, False)}
+        rows = [seen[v] if v in seen else seen.setdefault(v, make(v)) for v in values]
+        return pd.DataFrame(rows, columns=["plain", "mixed"])
 
     return rewrite(text)
 
 
-def consistent_texts(texts: DataFrame, text: str, out: str = "plain", counts: tuple[tuple[str, int], ...] | None = None) -> DataFrame:
+def consistent_texts(texts: DataFrame, text: str, out: str = "plain", counts: Counts | None = None) -> DataFrame:
     """``texts`` with ``out``: the consistent form of ``text``.
 
     Changed are: letters, digits and spaces in another than their plain composed form, invisible characters (dropped), and
@@ -250,14 +285,16 @@ def consistent_texts(texts: DataFrame, text: str, out: str = "plain", counts: tu
     kept = [c for c in texts.columns if c != out]
     odd = texts.where(F.col(text).rlike(SUSPECT))
     plain = texts.where(~F.coalesce(F.col(text).rlike(SUSPECT), F.lit(False)))
-    return plain.select(*kept, F.col(text).alias(out)).unionByName(odd.select(*kept, consistent(F.col(text), counts).alias(out)))
+    return plain.select(*kept, F.col(text).alias(out)).unionByName(odd.select(*kept, consistent(F.col(text), counts, lookalike_classes(texts.sparkSession))["plain"].alias(out)))
 
 
-def odd_texts(texts: DataFrame, text: str, counts: tuple[tuple[str, int], ...] | None = None) -> DataFrame:
+def odd_texts(texts: DataFrame, text: str, counts: Counts | None = None) -> DataFrame:
     """The rows of ``texts`` whose text is not in its consistent form, with ``plain``; see :func:`consistent_texts`.
 
-    Words that mix look-alike scripts count also where some of their letters look like none of the other script.
+    A text with a word that mixes look-alike scripts is not in it even where no representative can put the word right.
     """
     counts = letter_counts(texts, text) if counts is None else counts
     odd = texts.where(F.col(text).rlike(SUSPECT))
-    return odd.withColumn("plain", consistent(F.col(text), counts)).where((F.col(text) != F.col("plain")) | F.col(text).rlike(MIXED))
+    row = F.struct(*[F.col(f"`{c}`") for c in texts.columns if c != "plain"]).alias("_row")
+    told = odd.select(row, F.col(text).alias("_text"), consistent(F.col(text), counts, lookalike_classes(texts.sparkSession)).alias("_told"))
+    return told.where((F.col("_text") != F.col("_told.plain")) | F.col("_told.mixed")).select("_row.*", "_told.plain")

@@ -10,7 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_DOT, _GAP = "\ue000", "\ue001"
+from postloom.functions.text import let
+
+#: Pieces whose places are worked out together.
+_BLOCK = 256
+_DOT, _GAP, _LEFT, _RIGHT = "\ue000", "\ue001", "\ue003", "\ue004"
 _ENDS = ".!?…؟۔।॥|;;。！？｡．"
 _WS = "[\\s\\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
 _CJK = "\\u3040-\\u30FF\\u3400-\\u4DBF\\u4E00-\\u9FFF\\uF900-\\uFAFF\\uFF66-\\uFF9F\\uAC00-\\uD7AF"
@@ -69,18 +73,22 @@ _SPAN = "|".join(_PAIRS)
 _TIGHT = "(?:[“„«]?\\p{Lu}\\p{Ll}|(?<=\\p{Ll}{2}[.?!])\\p{Lu}\\s)"
 
 #: Masks in order: end marks inside words (decimals, URLs, acronyms), marks of list items, initials, abbreviations, ordinals.
+#: Each begins with the mark itself, so the look-arounds are tried at marks only.
 _MASKS = [
-    rf"(?<=[{_WORD}_/:@%\-])(?:(?<!\p{{Ll}})[.?!]|[.?!](?!{_TIGHT}))(?=[{_WORD}_/%=&\-])(?![{_CJK}])",
-    rf"(?m)(?<=^[ \t]{{0,12}}\d{{1,3}})\.(?=[ \t ])",
-    rf"(?<=(?<![{_WORD}{_DOT}.])\p{{Lu}})\.(?={_WS}+\p{{Lu}})",
-    rf"(?<=(?<![{_WORD}{_DOT}])\p{{L}})\.(?={_WS}?\p{{L}}[.{_DOT}])",
+    rf"[.?!](?=[{_WORD}_/%=&\-])(?![{_CJK}])(?<=[{_WORD}_/:@%\-][.?!])(?:(?<!\p{{Ll}}[.?!])|(?!{_TIGHT}))",
+    rf"(?m)\.(?=[ \t ])(?<=^[ \t]{{0,12}}\d{{1,3}}\.)",
+    rf"\.(?={_WS}+\p{{Lu}})(?<=(?<![{_WORD}{_DOT}.])\p{{Lu}}\.)",
+    rf"\.(?={_WS}?\p{{L}}[.{_DOT}])(?<=(?<![{_WORD}{_DOT}])\p{{L}}\.)",
     rf"\.(?<=(?<![{_WORD}{_DOT}])(?:{_any(NEVER_LAST)})\.)",
     rf"\.(?<=(?<![{_WORD}{_DOT}])(?:{_any(_INNER)})\.)",
     rf"\.(?={_WS}*\d)(?<=(?<![{_WORD}{_DOT}])(?:{_any(BEFORE_NUMBER)})\.)",
-    rf"(?<=\d)\.(?={_WS}+(?:{'|'.join(AFTER_ORDINAL)})(?![{_WORD}]))",
-    rf"(?<=^|\n)\.(?=\p{{L}})",
+    rf"\.(?={_WS}+(?:{'|'.join(AFTER_ORDINAL)})(?![{_WORD}]))(?<=\d\.)",
+    rf"\.(?=\p{{L}})(?<=(?:^|\n)\.)",
 ]
 
+#: Marks inside words first, as what they become is looked at by the others; these look at one another's marks either way.
+_PASSES = [_MASKS[0], "|".join(_MASKS[1:])]
+
 _CLOSE = "[\"'”’“»›)\\]」』）]"
 _SHUT = "[\"'”’»)\\]」』）]"
 _LATIN_ENDS = f"(?:[.!?…؟۔।॥]|(?<=[\\u0900-\\u097F])\\||(?<=[\\u0370-\\u03FF\\u1F00-\\u1FFF])[;;])"
@@ -88,38 +96,43 @@ _END = f"(?:{_LATIN_ENDS}{_CLOSE}{{0,4}}|{_LATIN_ENDS}[ \\u00A0\\u202F\\n][»›
 #: What continues a sentence after an end mark: a lower-case word (but for words such as iOS), a dash, comma or closing mark.
 _GOES_ON = f"{_WS}*(?:[\"'“„«‹(\\[‘¿¡]*(?:{_WS}(?=\\p{{Ll}}))?\\p{{Ll}}(?!\\p{{Ll}}*\\p{{Lu}})|[,;:—–](?!\\p{{L}})|-{_WS}|[)\\]»”›])"
 _WIDE = "[。！？｡]"
-_SPLITS = [
-    rf"(?={_BLANK})(?<!\n[ \t \r]{{0,9}})",
-    rf"(?=\n[ \t]*(?:[-*•·▪◦‣–]|\d{{1,3}}[.){_DOT}]|\(\d{{1,3}}\))[ \t {_GAP}])",
+#: Boundaries before white space, and behind end or closing marks.
+_BEFORE_SPACE = [
+    rf"(?={_BLANK})(?<!\n[ \t \r]{{0,9}})",
+    rf"(?=\n[ \t]*(?:[-*•·▪◦‣–]|\d{{1,3}}[.){_DOT}]|\(\d{{1,3}}\))[ \t {_GAP}])",
     rf"(?={_WS})(?<![{_WORD},])(?<={_END})(?!{_GOES_ON})",
+    r"(?<=[฀-๿])(?=[  \n]+[฀-๿])",
+]
+_BEHIND_MARK = [
     rf"(?<=\p{{Ll}}[.?!])(?={_TIGHT})",
     rf"(?<=[。！？｡\"'”’»)\]」』）])(?<={_WIDE}{_SHUT}{{0,4}})(?!{_WIDE}|{_SHUT}|{_WS}*$)",
     rf"(?<=[!?\"'”’»)\]」』）])(?<=[{_CJK}][!?]{_SHUT}{{0,3}})(?=[{_CJK}「『（“])",
-    r"(?<=[฀-๿])(?=[  \n]+[฀-๿])",
 ]
-_BOUNDARY = "|".join(f"(?:{s})" for s in _SPLITS)
+#: Two one-range tests turn most places away before any of the look-arounds is tried.
+_BOUNDARY = (
+    rf"(?![!-~\u00A1-\u167F])(?:{'|'.join(_BEFORE_SPACE)})|(?<![0-9A-Za-z\s\u00C0-\u1FFF])(?:{'|'.join(_BEHIND_MARK)})"
+)
 
 
 def _masked(text: Column, marks: str = _ENDS) -> Column:
     return F.translate(text, marks, _DOT * len(marks))
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of ``value``, which is evaluated once; a plain reference would be evaluated anew at every use in a lambda."""
-    return F.transform(F.array(value), body)[0]
+def _each_span(text: Column, pattern: str, signs: list[str], change) -> Column:
+    """``text`` with ``change`` applied to every match of ``pattern``; all else is kept, and so are texts without any of ``signs``.
 
-
-def _each_span(text: Column, pattern: str, change) -> Column:
-    """``text`` with ``change`` applied to every match of ``pattern``; all else is kept."""
-
-    def joined(s: Column) -> Column:
-        return F.array_join(F.transform(s["parts"], lambda p, i: F.concat(p, F.coalesce(change(F.get(s["spans"], i)), F.lit("")))), "")
+    The matches are bracketed in one pass and found again by the brackets, which ``text`` must not hold.
+    """
 
     def cut(t: Column) -> Column:
-        spans = F.regexp_extract_all(t, F.lit(pattern), 0)
-        return _let(F.struct(F.split(t, pattern, -1).alias("parts"), spans.alias("spans")), joined)
+        parts = F.split(F.regexp_replace(t, f"({pattern})", f"{_LEFT}$1{_RIGHT}"), f"[{_LEFT}{_RIGHT}]", -1)
+        changed = F.transform(parts, lambda p, i: F.when(i % 2 == 1, let(p, change)).otherwise(p))
+        some = t.rlike(signs[0])
+        for sign in signs[1:]:
+            some = some | t.rlike(sign)
+        return F.when(some, F.array_join(changed, "")).otherwise(t)
 
-    return _let(text, cut)
+    return let(text, cut)
 
 
 def unit_spans(text: Column) -> Column:
@@ -134,36 +147,53 @@ def unit_spans(text: Column) -> Column:
     lined = F.translate(text, "  \u000b\u000c", "\n\n\n\n")
     lined = F.regexp_replace(F.regexp_replace(lined, "\r(?=\n)", " "), "\r", "\n")
     # Private-use characters of the text itself are no placeholders: another character takes their place, for the search only.
-    clear = F.translate(lined, _DOT + _GAP, "\ue002\ue002")
+    clear = F.translate(lined, _DOT + _GAP + _LEFT + _RIGHT, "\ue002" * 4)
     mark = rf"^([ \t]*{_LIST})"
 
     def item(span: Column) -> Column:
         head = F.regexp_extract(span, mark, 1)
         return F.concat(head, F.translate(_masked(F.substring(span, F.length(head) + 1, F.length(span))), "  ", _GAP * 2))
 
-    listed = _each_span(clear, _ITEM, item)
+    listed = _each_span(clear, _ITEM, [rf"\n[ \t]*{_LIST}[ \t ]", rf"^[ \t]*{_LIST}[ \t ]"], item)
     masked = listed
-    for mask in _MASKS:
+    for mask in _PASSES:
         masked = F.regexp_replace(masked, mask, _DOT)
     inside = f"(?s)[{_ENDS}](?=.*[{_WORD}])"
-    told = rf"(?:[：:]\s?)?(?:{_SPAN})"  # a colon before the span says that the quotation ends the sentence
+    told = rf"(?![0-9A-Za-z \u00C0-\u1FFF])(?:[：:]\s?)?(?:{_SPAN})"  # a colon before the span says that the quotation ends the sentence
     caseless = f"^.(?:(?![\\p{{Lu}}\\p{{Ll}}])(?s:.))*[{_CASELESS}]"
 
     def quotation(span: Column) -> Column:
         goes_on = ~span.rlike("^[：:]") & span.rlike(caseless)
         return F.when(goes_on, _masked(span)).otherwise(F.regexp_replace(span, inside, _DOT))
 
-    quoted = _each_span(masked, told, quotation)
+    quoted = _each_span(masked, told, ["[„“«‹\"‘「『（(\\[]"], quotation)
     pieces = F.split(quoted, _BOUNDARY, -1)
 
+    none = F.array().cast("array<struct<start_pos:int,end_pos:int>>")
+
     def grow(acc: Column, piece: Column) -> Column:
-        size = F.length(piece)
-        start = acc["at"] + size - F.length(F.regexp_replace(piece, f"^[{_WS[1:-1]}{_GAP}]+", ""))
-        end = acc["at"] + F.length(F.regexp_replace(piece, f"[{_WS[1:-1]}{_GAP}]+$", ""))
-        return F.struct((acc["at"] + size).alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start_pos"), end.alias("end_pos")))).alias("out"))
+        start = acc["at"] + piece["lead"]
+        unit = F.struct(start.alias("start_pos"), (acc["at"] + piece["end"]).alias("end_pos"))
+        return F.struct((acc["at"] + piece["size"]).alias("at"), F.concat(acc["out"], F.array(unit)).alias("out"))
 
-    none = F.array().cast("array<struct<start_pos:int,end_pos:int>>")
-    spans = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), none.alias("out")), grow, lambda acc: acc["out"])
+    def measured(piece: Column) -> Column:
+        size = F.length(piece)
+        lead = F.when(piece.rlike(f"^[{_WS[1:-1]}{_GAP}]"), size - F.length(F.regexp_replace(piece, f"^[{_WS[1:-1]}{_GAP}]+", ""))).otherwise(0)
+        end = F.when(piece.rlike(f"[{_WS[1:-1]}{_GAP}]$"), F.length(F.regexp_replace(piece, f"[{_WS[1:-1]}{_GAP}]+$", ""))).otherwise(size)
+        return F.struct(size.alias("size"), lead.alias("lead"), end.alias("end"))
+
+    def placed(found: Column) -> Column:
+        # Blocks of pieces, then the blocks: an array that grows by one is copied each time, which long texts must not pay.
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / _BLOCK).cast("int")), lambda i: F.slice(found, i * _BLOCK + 1, F.lit(_BLOCK)))
+        counted = F.transform(blocks, lambda block: F.aggregate(block, F.struct(F.lit(0).alias("at"), none.alias("out")), grow))
+        shift = lambda acc, b: F.struct(
+            (acc["at"] + b["at"]).alias("at"),
+            F.concat(acc["out"], F.array(F.transform(b["out"], lambda u: F.struct((u["start_pos"] + acc["at"]).alias("start_pos"), (u["end_pos"] + acc["at"]).alias("end_pos"))))).alias("out"),
+        )
+        nothing = F.array().cast("array<array<struct<start_pos:int,end_pos:int>>>")
+        return F.flatten(F.aggregate(counted, F.struct(F.lit(0).alias("at"), nothing.alias("out")), shift, lambda acc: acc["out"]))
+
+    spans = let(F.transform(pieces, lambda p: measured(p)), placed)
     return F.filter(spans, lambda u: u["end_pos"] > u["start_pos"])
 
 
