@@ -6,14 +6,16 @@ rest of a source is a fixed-size sample in Pareto order: documents are ranked by
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postloom.operators.joins import sized_join
 from postloom.session import checkpoint_ready
 
-#: Ranks are cut into this many slices; only the slice in which a source's budget ends is ordered row by row.
-SLICES = 4096
+#: Ranks are cut into slices of about this many documents; only the slice in which a source's budget ends is ordered row by row.
+SLICE = 2000
 #: After the prefix of the order, what is left of a budget is filled so many times by the documents that still fit.
 FILLS = 2
 
@@ -24,9 +26,9 @@ def _uniform(seed: int, *columns: str) -> Column:
     return (bits.cast("double") + 0.5) / float(1 << 53)
 
 
-def _slice(rank: Column) -> Column:
+def _slice(rank: Column, slices: int) -> Column:
     """A slice number that grows with the rank: ranks are ratios of odds, so r / (1 + r) lies in (0, 1)."""
-    return F.least(F.floor(rank / (1 + rank) * SLICES), F.lit(SLICES - 1))
+    return F.least(F.floor(rank / (1 + rank) * slices), F.lit(slices - 1))
 
 
 def mix_plan(documents: DataFrame, targets: DataFrame) -> DataFrame:
@@ -34,10 +36,10 @@ def mix_plan(documents: DataFrame, targets: DataFrame) -> DataFrame:
 
     ``give_tokens`` is the share of the largest total at which no source needs more than ``max_repeats`` copies. A source
     that is wanted but has no tokens makes that total 0. Shares that are null or not positive are left out; the others are
-    divided by their sum.
+    divided by their sum. Of targets that contradict each other the greatest share counts.
     """
     have = documents.groupBy("source").agg(F.sum("tokens").alias("have_tokens"))
-    wanted = targets.where("target_share > 0 and max_repeats > 0").dropDuplicates(["mix_name", "source"])
+    wanted = targets.where("target_share > 0 and max_repeats > 0").groupBy("mix_name", "source").agg(F.max(F.struct("target_share", "max_repeats")).alias("t")).select("mix_name", "source", "t.*")
     by_mix = Window.partitionBy("mix_name")
     shares = wanted.withColumn("share", F.col("target_share") / F.sum("target_share").over(by_mix)).join(have, "source", "left")
     shares = shares.withColumn("have_tokens", F.coalesce("have_tokens", F.lit(0)))
@@ -86,8 +88,9 @@ def mix_documents(
     plan = plan.withColumn("whole", F.least("whole", "max_repeats")).withColumn("budget", F.col("give_tokens") - F.col("whole") * F.col("have_tokens"))
     ranked = sized_join(known, plan.checkpoint(), ["source"], "inner", spread_by="id")
     chance = F.least(F.greatest(F.try_divide("budget", "have_tokens") * F.col("w") / F.col("mean_w"), F.lit(1e-12)), F.lit(1 - 1e-9))
+    slices = max(64, math.ceil(known.count() / SLICE))
     u = _uniform(seed, "mix_name", "id")
-    ranked = ranked.withColumn("rank", (u / (1 - u)) / (chance / (1 - chance))).withColumn("slice", _slice(F.col("rank")))
+    ranked = ranked.withColumn("rank", (u / (1 - u)) / (chance / (1 - chance))).withColumn("slice", _slice(F.col("rank"), slices))
     used = _prefix(ranked.select("mix_name", "source", "id", "tokens", "whole", "max_repeats", "budget", "rank", "slice", F.col("budget").alias("room")))
     for _ in range(FILLS):
         used = used.drop("room").checkpoint()

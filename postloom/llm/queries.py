@@ -9,7 +9,7 @@ from postloom.llm.canonical import map_values, place_entries
 from postloom.llm.lookalikes import consistent_texts, odd_texts
 from postloom.llm.mixing import mix_documents, mix_report
 from postloom.llm.neardup import similar_groups, similar_pairs
-from postloom.llm.packing import pack_documents, pack_report
+from postloom.llm.packing import pack_documents, pack_report, part_report
 from postloom.llm.sentences import sentence_units
 from postloom.llm.tokens import sized_documents
 from postloom.operators.joins import sized_join
@@ -93,6 +93,11 @@ def p7_report(spark: SparkSession, folder: str) -> DataFrame:
     return pack_report(p7_packs(spark, folder).checkpoint(), packs)
 
 
+def p7_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every partition that packs were filled in, and whether its lower bound certifies it."""
+    return part_report(p7_packs(spark, folder))
+
+
 def p8_mixes(spark: SparkSession, folder: str) -> DataFrame:
     checkpoint_ready(spark)
     sizes = sized_documents(table(spark, folder, "documents").select("doc_id", "source", "text")).checkpoint()
@@ -106,5 +111,16 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     return mix_report(mix_documents(sizes, targets, weight="tokens"), sizes, targets)
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p6_found": p6_found, "p6_texts": p6_texts, "p7_packs": p7_packs, "p7_report": p7_report, "p8_mixes": p8_mixes, "p8_report": p8_report, "p9_found": p9_found, "p9_units": p9_units}
-ORACLES: dict[str, str] = {}
+QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p3_found": p3_found, "p6_found": p6_found, "p6_texts": p6_texts, "p7_packs": p7_packs, "p7_parts": p7_parts, "p7_report": p7_report, "p8_mixes": p8_mixes, "p8_report": p8_report, "p9_found": p9_found, "p9_units": p9_units}
+#: All pairs by common three-word sequences, counted exactly; the operator proposes pairs by signatures and must find the same.
+P2_SQL = r"""
+WITH words AS (SELECT job_id, regexp_extract_all(lower(description), '[\p{L}\p{N}]+') AS w, list_distinct(regexp_extract_all(lower(title), '[\p{L}\p{N}]+')) AS t FROM source_jobs WHERE description IS NOT NULL),
+texts AS (SELECT job_id, t, list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s FROM words WHERE len(w) >= 3 AND len(t) > 0),
+rows AS (SELECT job_id, len(s) AS n, unnest(s) AS x FROM texts),
+shared AS (SELECT a.job_id AS job_id_a, b.job_id AS job_id_b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb FROM rows a JOIN rows b ON a.x = b.x AND a.job_id < b.job_id
+  WHERE least(a.n, b.n) >= 0.6 * greatest(a.n, b.n) - 1e-9 GROUP BY 1, 2),
+near AS (SELECT job_id_a, job_id_b FROM shared WHERE c >= 0.6 * (na + nb - c) - 1e-9)
+SELECT job_id_a, job_id_b FROM near JOIN texts a ON a.job_id = job_id_a JOIN texts b ON b.job_id = job_id_b
+WHERE 3 * len(list_intersect(a.t, b.t)) >= len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))
+"""
+ORACLES: dict[str, str] = {"p2_found": P2_SQL}
