@@ -98,7 +98,7 @@ def structured_type_codes(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.groupBy("structured_type").agg(F.count("*").alias("n")).select("structured_type", employment.type_of_code(F.col("structured_type")).alias("job_type"), "n")
 
 
-_LABEL_ROWS = ", ".join(f"('{w}', '{t}', '{'medium' if w in employment.MEDIUM else 'high'}')" for t, words in employment.LABELS.items() for w in words)
+_LABEL_ROWS = ", ".join(f"('{w}', '{t}', '{c}')" for w, (t, c) in employment.LABELS.items())
 
 
 @query(f"""
@@ -117,13 +117,18 @@ def _re2(pattern: str) -> str:
 
 
 _RULES = ", ".join(f"({i}, '{t}', '{c}', '{_re2(p)}', {s})" for i, (t, c, p, s) in enumerate(employment.TITLE_RULES))
+#: A title with full-width and mathematical letters and digits and no-break spaces in their plain form.
+_COMPOSED = """nfc_normalize(array_to_string(list_transform(string_split(title, ''), lambda c: CASE WHEN unicode(c) BETWEEN 65281 AND 65374 THEN chr(unicode(c) - 65248)
+  WHEN unicode(c) IN (160, 8199, 8239, 12288) OR unicode(c) BETWEEN 8192 AND 8202 THEN ' '
+  WHEN unicode(c) BETWEEN 119808 AND 120483 THEN chr((unicode(c) - 119808) % 52 + CASE WHEN (unicode(c) - 119808) % 52 < 26 THEN 65 ELSE 71 END)
+  WHEN unicode(c) BETWEEN 120782 AND 120831 THEN chr((unicode(c) - 120782) % 10 + 48) ELSE c END), ''))"""
 _RANKS = ", ".join(f"('{t}', {r})" for t, r in employment.RANK.items())
 
 
 @query(rf"""
 WITH r(i, t, c, p, strip) AS (VALUES {_RULES}), k(t, rank) AS (VALUES {_RANKS}),
-j AS (SELECT title, count(*) AS n FROM source_jobs WHERE title IS NOT NULL GROUP BY 1),
-e AS (SELECT title, n, i, t, c FROM j JOIN r ON regexp_matches(CASE WHEN strip THEN regexp_replace(title, '{_re2(employment.ADMINISTRATION)}', ' ', 'g') ELSE title END, p)),
+j AS (SELECT title, count(*) AS n, {_COMPOSED} AS plain FROM source_jobs WHERE title IS NOT NULL GROUP BY 1),
+e AS (SELECT title, n, i, t, c FROM j JOIN r ON regexp_matches(CASE WHEN strip THEN regexp_replace(plain, '{_re2(employment.ADMINISTRATION)}', ' ', 'g') ELSE plain END, p)),
 s AS (SELECT title, n, count(*) FILTER (c = 'high') AS firm, arg_min(t, (c <> 'high')::INT * 100 + i) FILTER (t IN ('internship', 'co_op', 'apprenticeship')) AS fam,
   arg_min(c, (c <> 'high')::INT * 100 + i) FILTER (t IN ('internship', 'co_op', 'apprenticeship')) AS famc,
   bool_or(c = 'high' AND t = 'full_time') AND bool_or(c = 'high' AND t = 'part_time') AS clash FROM e GROUP BY ALL),
@@ -329,9 +334,10 @@ def claim_batches(spark: SparkSession, folder: str) -> DataFrame:
 SELECT shard, count(*) AS n_boards FROM boards JOIN (VALUES ('greenhouse', ['greenhouse']), ('lever', ['lever']), ('ashby', ['ashby']),
  ('others', ['recruitee', 'workable', 'breezy', 'pinpoint', 'teamtailor', 'usajobs'])) s(shard, l) ON list_contains(l, ats) GROUP BY shard""")
 def shard_boards(spark: SparkSession, folder: str) -> DataFrame:
-    shards = {s: scheduling.shard_sources(s, adapters.SOURCES) for s in ("greenhouse", "lever", "ashby", "others")}
-    of = F.create_map(*[F.lit(x) for shard, names in shards.items() for n in names for x in (n, shard)])
-    return table(spark, folder, "boards").select(of[F.col("ats")].alias("shard")).where("shard is not null").groupBy("shard").agg(F.count("*").alias("n_boards"))
+    shards = F.explode(F.array(*[F.lit(s) for s in ("greenhouse", "lever", "ashby", "others")])).alias("shard")
+    counts = table(spark, folder, "boards").groupBy("ats").agg(F.count("*").alias("n")).select("ats", "n", shards)
+    covered = counts.where(F.col("ats").isin(adapters.SOURCES) & scheduling.in_shard(F.col("ats"), F.col("shard")))
+    return covered.groupBy("shard").agg(F.sum("n").alias("n_boards"))
 
 
 @query("""

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions.temporal import epoch_instant, posted_precision, unzoned_instant
-from postloom.functions.text import joined, plain_text, safe_url, sections
+from postloom.functions.text import joined, let, plain_text, safe_url, sections
 
 SOURCES = ["greenhouse", "lever", "ashby", "recruitee", "workable", "breezy", "pinpoint", "teamtailor", "usajobs"]
 #: Where each provider's response keeps its records; the others are arrays themselves.
@@ -195,11 +193,16 @@ ADAPTERS = {f.__name__: f for f in (greenhouse, lever, ashby, recruitee, workabl
 def extract(records: DataFrame, source: str = "source", json: str = "raw_json") -> DataFrame:
     """``records`` with ``record``: the canonical record of the provider's JSON text; null JSON and unknown sources give nulls.
 
-    One branch per provider, put together by name: rows of a provider pay for its own projection only.
+    One scan and one parse; a conditional holds a branch for every provider, so rows pay for the projection of their own only.
     """
-    parsed = records.withColumn("_v", F.try_parse_json(json))
-    branches = [parsed.where(F.col(source) == name).withColumn("record", make(F.col("_v"))) for name, make in ADAPTERS.items()]
-    return reduce(lambda a, b: a.unionByName(b), branches).drop("_v")
+    def made(v: Column) -> Column:
+        chosen = None
+        for name, make in ADAPTERS.items():
+            chosen = F.when(F.col(source) == name, make(v)) if chosen is None else chosen.when(F.col(source) == name, make(v))
+        return chosen
+
+    # Bound within one expression, so that neither the parsed text nor a field of the record is worked out anew at each use.
+    return records.withColumn("record", let(F.try_parse_json(json), made))
 
 
 def unwrap(responses: DataFrame, source: str = "source", body: str = "body") -> DataFrame:

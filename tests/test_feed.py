@@ -36,14 +36,22 @@ def test_change_rate(spark):
     assert [rate(0.0, True, False), rate(0.2, True, False), rate(0.36, False, False), rate(0.0, False, False), rate(0.288, False, True)] == [0.2, 0.36, 0.288, 0.0, 0.288]
 
 
-def test_shards_and_claims():
+def test_shards_and_claims(spark):
     every = adapters.SOURCES
-    assert scheduling.shard_sources("others", every) == every[3:]
-    assert scheduling.shard_sources("lever, ashby ,nosuch", every) == ["lever", "ashby"]
-    assert scheduling.shard_sources(None, every) == scheduling.shard_sources("all", every) == every
-    assert scheduling.claim_sources("others", None, every, False) == every[3:8]
-    assert scheduling.claim_sources("greenhouse", "lever", every, True) == []
-    assert [scheduling.run_key("123", "2", "lever", "u"), scheduling.run_key("123", None, "all", "u"), scheduling.run_key(" ", None, None, "u")] == ["123-2-lever", "123-1", "u"]
+    sources = spark.createDataFrame([(s, i) for i, s in enumerate(every)], "source string, i int")
+
+    def chosen(condition):
+        return [r.source for r in sources.where(condition).orderBy("i").collect()]
+
+    shard = lambda s: chosen(scheduling.in_shard(F.col("source"), F.lit(s).cast("string")))
+    claim = lambda s, only, c: chosen(scheduling.claimable(F.col("source"), F.lit(s).cast("string"), F.lit(only).cast("string"), F.lit(c)))
+    assert shard("others") == every[3:]
+    assert shard("lever, ashby ,nosuch") == ["lever", "ashby"]
+    assert shard(None) == shard("all") == every
+    assert claim("others", None, False) == every[3:8]
+    assert claim("greenhouse", "lever", True) == [] and claim(None, "lever", True) == ["lever"]
+    runs = spark.createDataFrame([("123", "2", "lever"), ("123", None, "all"), (" ", None, None)], "r string, a string, s string")
+    assert [x[0] for x in runs.select(scheduling.run_key(F.col("r"), F.col("a"), F.col("s"), F.lit("u"))).collect()] == ["123-2-lever", "123-1", "u"]
 
 
 def test_claim_batches(spark):
@@ -74,6 +82,8 @@ def test_terms_and_sponsorship(spark):
     [
         ("Employment type: Full-time", "full_time"), ("Job Type: Contract", "contract"), ("Time Type: Part time", "part_time"), ("This is a full-time position", "full_time"),
         ("This role is a 6-month contract", "contract"), ("this is a full-time contract position", "contract"), ("雇用形態：正社員", "full_time"), ("Type de contrat : CDI", "full_time"),
+        ("This is a full-time role. This is a contract job.", "contract"), ("a full-time position and part-time hours", "part_time"), ("Ｅｍｐｌｏｙｍｅｎｔ ｔｙｐｅ： Ｆｕｌｌ－ｔｉｍｅ", "full_time"),
+        ("full-time basis as a student; seasonal job", None), ("students welcome, and far away from that: a seasonal job", "temporary"), ("This role is a full-time\ninternship", "internship"),
         ("This is a part-time degree program", None), ("nothing here", None), ("", None), (None, None),
     ],
 )
@@ -88,6 +98,7 @@ def test_employment_conflict_and_implied(spark):
 
 
 def test_labels(spark):
+    assert one(spark, "Ｆｕｌｌ－ｔｉｍｅ", lambda x: employment.type_of_label(x)["type"]) == "full_time"
     assert one(spark, "Full-time, Regular", lambda x: employment.type_of_label(x)["type"]) == "full_time"
     assert one(spark, "Contract (12 months)", lambda x: employment.type_of_label(x)["type"]) == "contract"
     assert one(spark, "fixed_term", employment.type_of_code) == "full_time"

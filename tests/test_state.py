@@ -4,7 +4,11 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+from pyspark.sql import functions as F
+
 from postloom.functions.countries import structured_country
+from postloom.operators import state
 from postloom.operators.state import batch_writer, conditional_update, current, upsert
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -23,6 +27,42 @@ def test_upsert_and_replay(spark, tmp_path):
     assert upsert(spark, folder, make(), ["k"]) and current(spark, folder).count() == 4
 
 
+def test_a_writer_that_dies_loses_nothing(spark, tmp_path, monkeypatch):
+    """Before and after every step of a write the state is the old one or the new one, and the next write goes on from there."""
+    folder = str(tmp_path / "state")
+    make = lambda *rows: spark.createDataFrame(list(rows), "k int, v string")
+    read = lambda: sorted(map(tuple, current(spark, folder).collect()))
+    assert upsert(spark, folder, make((1, "a"), (2, "b")), ["k"], "r-0", parts=4)
+
+    def dies(*args, **named):
+        raise InterruptedError
+
+    for step in ("_put", "quote", "_read"):
+        with monkeypatch.context() as patch:
+            patch.setattr(state, step, dies)
+            with pytest.raises(InterruptedError):
+                upsert(spark, folder, make((2, "lost"), (9, "lost")), ["k"], "r-1")
+        assert read() == [(1, "a"), (2, "b")]
+    (tmp_path / "state" / "log" / ".draft-left-over").write_text("{")
+    assert upsert(spark, folder, make((2, "c"), (9, "z")), ["k"], "r-1") and read() == [(1, "a"), (2, "c"), (9, "z")]
+    assert not upsert(spark, folder, make((2, "old")), ["k"], "r-0")
+    with pytest.raises(OSError):
+        state._put(spark, folder, 2, "other", {})
+    wider = spark.createDataFrame([(5, "e", 7), (1, None, 8)], "k int, v string, w int")
+    assert upsert(spark, folder, wider, ["k"]) and sorted(current(spark, folder).collect()) == sorted([(1, None, 8), (2, "c", None), (5, "e", 7), (9, "z", None)], key=lambda r: r[0])
+
+
+def test_untouched_parts_stay(spark, tmp_path):
+    folder = str(tmp_path / "state")
+    upsert(spark, folder, spark.range(200).withColumn("v", F.lit(1)), ["id"], "a", parts=16)
+    upsert(spark, folder, spark.range(1).withColumn("v", F.lit(2)), ["id"], "b")
+    assert len(list((tmp_path / "state" / "data" / "gen=2").glob("_part=*"))) == 1
+    assert current(spark, folder).count() == 200 and current(spark, folder).where("v = 2").count() == 1
+    writer = batch_writer(folder, ["id"], "r", order="v")
+    writer(spark.createDataFrame([(0, 5), (0, 9), (0, None)], "id bigint, v int"), 1)
+    assert current(spark, folder).where("id = 0").first().v == 9
+
+
 def test_conditional_update(spark):
     stored = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "k int, s string")
     new = spark.createDataFrame([(1, "unknown"), (2, "z"), (3, "w")], "k int, s string")
