@@ -43,13 +43,13 @@ WHERE e.uid IS NULL OR l.uid IS NULL OR l.hash <> e.hash
 
 
 def p4_instants(spark: SparkSession, folder: str) -> DataFrame:
-    """Every posted_at and updated_at with its UTC instant, null where it states none."""
+    """Every posted_at and updated_at with its UTC instant and how it was read, null where it states none."""
     raw = table(spark, folder, "raw_postings").select("raw_id", "board_id", "posted_at", "updated_at")
     boards = table(spark, folder, "boards").select("board_id", "zone_name", (F.col("locale_tag") == "en_US").alias("month_first"))
     joined = sized_join(raw, boards, ["board_id"], "left", spread_by="raw_id")
     fields = F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("written")) for c in ("posted_at", "updated_at")])
     values = joined.select("raw_id", "zone_name", "month_first", F.explode(fields).alias("v")).select("raw_id", "zone_name", "month_first", "v.*")
-    return to_utc(values, text="written", zone="zone_name", month_first="month_first").drop("zone_name", "month_first")
+    return to_utc(values, text="written", zone="zone_name", month_first="month_first", reading="reading").drop("zone_name", "month_first")
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,5 +71,5 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return p5_values(spark, folder, least=2)
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found}
+QUERIES = {"p1_changes": p1_changes, "p1_found": p1_found, "p4_found": p4_found, "p4_instants": p4_instants, "p5_found": p5_found}
 ORACLES = {"p1_found": P1_SQL}

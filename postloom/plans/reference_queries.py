@@ -517,3 +517,51 @@ def status_update(spark: SparkSession, folder: str) -> DataFrame:
         "board_id", F.when((F.col("board_id") % 5 == 0) | (F.col("n").isNull() & (F.col("verify_status") == "unknown")), "unknown").when(F.col("n") > 0, "active").otherwise("empty").alias("verify_status")
     )
     return conditional_update(boards, probed, ["board_id"], ["verify_status"], unless="unknown")
+
+
+#: Titles and descriptions as written, their types worked out by hand in the SQL of the query.
+_STATEMENTS = [
+    ("Cook", "Employment type: Full-time"),
+    ("Cook", "Job Type: Contract"),
+    ("Cook", "Time Type: Part time"),
+    ("Cook", "This is a full-time position"),
+    ("Cook", "This role is a 6-month contract"),
+    ("Cook", "This is a full-time contract position"),
+    ("Cook", "This is a full-time role. This is a contract job."),
+    ("Cook", "a full-time position and part-time hours"),
+    ("Cook", "雇用形態：正社員"),
+    ("Cook", "Type de contrat : CDI"),
+    ("Part-time cook", "Employment type: Full-time"),
+    ("Ｉｎｔｅｒｎ", "Employment type: Full-time"),
+    ("Cook", "Ｅｍｐｌｏｙｍｅｎｔ ｔｙｐｅ： Ｆｕｌｌ－ｔｉｍｅ"),
+    ("Cook", "This is a part-time degree program"),
+]
+
+
+@query("""
+SELECT job_id, job_type, confidence, conflict FROM source_jobs JOIN (VALUES
+ (0, 'full_time', 'high', false), (1, 'contract', 'high', false), (2, 'part_time', 'high', false), (3, 'full_time', 'high', false), (4, 'contract', 'high', false),
+ (5, 'contract', 'high', false), (6, 'contract', 'high', false), (7, 'part_time', 'medium', false), (8, 'full_time', 'high', false), (9, 'full_time', 'medium', false),
+ (10, NULL, NULL, true), (11, 'internship', 'high', false), (12, 'full_time', 'high', false), (13, NULL, NULL, false)) v(i, job_type, confidence, conflict) ON i = job_id % 14""")
+def employment_resolve(spark: SparkSession, folder: str) -> DataFrame:
+    """Statements of titles and descriptions, one for every posting by its id, and the type they resolve to."""
+    jobs = _jobs(spark, folder).select("job_id", _pick("job_id", [t for t, _ in _STATEMENTS]).alias("t"), _pick("job_id", [d for _, d in _STATEMENTS]).alias("d"))
+    found = employment.employment(F.col("t"), F.col("d"), F.lit(None).cast("string"), F.lit("other"))
+    return jobs.select("job_id", found.alias("e")).select("job_id", F.col("e.type").alias("job_type"), "e.confidence", "e.conflict")
+
+
+_PLACES_SAID = ["Germany", "Deutschland", "Remote - US", "United Kingdom", "EMEA", "Caribbean", "Remote", "Nowhere Land", "", "Remote (Germany)", "Multiple Locations", "teletrabajo"]
+
+
+@query("""
+SELECT job_id, countries, unresolved_reason FROM source_jobs JOIN (VALUES
+ (0, 'DE', NULL), (1, 'DE', NULL), (2, 'US', NULL), (3, 'GB', NULL), (4, '', 'region'), (5, '', 'region'), (6, '', 'bare-remote'), (7, '', 'unknown'), (8, '', 'empty'),
+ (9, 'DE', NULL), (10, '', 'region'), (11, '', 'bare-remote')) v(i, countries, unresolved_reason) ON i = job_id % 12""")
+def resolve_location(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels as written, one for every posting by its id, and the countries they state or the reason why none."""
+    from postloom.operators.locations import resolve_labels
+
+    jobs = _jobs(spark, folder).select("job_id", _pick("job_id", _PLACES_SAID).alias("label"))
+    told = resolve_labels(jobs, "label", table(spark, folder, "places"), table(spark, folder, "countries"))
+    told = told.select("label", F.array_join(F.array_sort("countries"), ",").alias("countries"), "unresolved_reason")
+    return sized_join(jobs, told, ["label"], "inner", spread_by="job_id").select("job_id", "countries", "unresolved_reason")

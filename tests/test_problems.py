@@ -111,6 +111,27 @@ def test_written_moments(spark):
     assert to_utc(frame.limit(0), text="w", zone="z", month_first="m").count() == 0
 
 
+def test_reading_of_local_times(spark):
+    """Two intervals mean a repeated hour (the first is meant), none a skipped one (moved on by the skip), one gives the offset."""
+    cases = [
+        ("2025-10-26 02:30", "2025-10-26T00:30", "repeated"), ("2025-03-30 02:30", "2025-03-30T01:30", "skipped"), ("2025-07-01 12:00", "2025-07-01T10:00", "direct"),
+        ("2025-10-26 02:30 +01:00", "2025-10-26T01:30", "stated"), ("2025-10-26", "2025-10-26T00:00", "day"), ("1761438600", "2025-10-26T00:30", "epoch"), ("soon", None, None), (None, None, None),
+    ]
+    frame = spark.createDataFrame([(i, t, "Europe/Berlin", False, 1, 2) for i, (t, _, _) in enumerate(cases)], "i int, w string, z string, m boolean, until int, zone_id int")
+    got = {r.i: r for r in to_utc(frame, text="w", zone="z", month_first="m", reading="how").collect()}
+    for i, (_, moment, how) in enumerate(cases):
+        want = None if moment is None else int(datetime.fromisoformat(moment + "+00:00").timestamp()) * 1000000
+        assert (got[i].utc_us, got[i].how, got[i].until, got[i].zone_id) == (want, how, 1, 2), cases[i]
+
+
+def test_packed_values_in_linear_time(spark):
+    """Spans are found once a text: 8,000 values in quotes come out whole, in order."""
+    text = "; ".join(f'"A {i}; b"' for i in range(8000))
+    frame = spark.createDataFrame([(1, text)], "i int, t string")
+    rows = split_packed(frame, "t").select("pos", "piece").orderBy("pos").collect()
+    assert len(rows) == 8000 and rows[7999].piece == "A 7999; b" and rows[7999].pos == 8000
+
+
 @pytest.mark.parametrize("name", ["Europe/Berlin", "America/New_York", "Asia/Kolkata", "Australia/Lord_Howe", "Africa/Casablanca"])
 def test_intervals_against_the_zone(name):
     rng, zone = random.Random(5), ZoneInfo(name)
