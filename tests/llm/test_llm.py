@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from postloom.llm.canonical import folded, map_values, place_entries, segments, similar_keys
 from postloom.llm.lookalikes import Rewriter, UnionFind, consistent_texts, letter_counts, lookalike_classes, odd_texts, plain_form
-from postloom.llm import queries
+from postloom.llm import neardup, queries
 from postloom.llm.mixing import mix_documents, mix_report
 from postloom.llm.neardup import Index, components, signatures, similar_groups, similar_pairs
 from postloom.llm.packing import best_fit, lower_bound, pack_documents, pack_report
 from postloom.llm.sentences import sentence_units, unit_spans
 from postloom.llm.tokens import VOCABULARY, count_tokens, encoding
+from postloom.session import checkpointed
 
 WORDS = "the team keeps our alerting rules safe and builds what slows buyers down while pay follows a public grid with bands and months of leave".split()
 
@@ -171,6 +172,37 @@ def test_hot_keys_take_the_exact_way(spark):
     assert {tuple(r) for r in similar_pairs(frame).collect()} == want
 
 
+def test_index_entries_are_never_written_out(spark, monkeypatch):
+    """With hot keys and in many rounds the pairs stay the same, and no checkpoint holds as many rows as the index has entries."""
+    rng, written = random.Random(3), []
+    shared = [f"s{i}" for i in range(40)]
+    rows = [(i, " ".join(shared + [f"o{i // 2}x{j}" for j in range(60 - i % 2)]), "Cook") for i in range(80)] + [(100 + i, t, "Cook") for i, (_, t, _) in enumerate(_texts(rng, 20))]
+    frame = spark.createDataFrame(rows, "id bigint, text string, title string")
+    plain = type(frame).checkpoint
+    monkeypatch.setattr(type(frame), "checkpoint", lambda df, *a: written.append((done := plain(df, *a)).count()) or done)
+    monkeypatch.setattr(neardup, "_ROUND", 1, raising=False)
+    assert {tuple(r) for r in similar_pairs(frame, index=Index(most=4, sample=1)).collect()} == _brute_pairs(rows)
+    assert len(written) > 12 and max(written) < 72 * 40
+
+
+def test_common_symbols_are_dealt_to_all_chunks():
+    index = Index()
+    order = neardup.dealt([1.0 if i < 12 else 0.5 if i < 24 else 0.0 for i in range(72)], index)
+    chunks = [order[i : i + 6] for i in range(0, 72, 6)]
+    assert sorted(order) == list(range(72))
+    assert all(sum(x < 12 for x in c) == sum(12 <= x < 24 for x in c) == 1 for c in chunks)
+
+
+def test_checkpointed_leaves_no_shuffle_files(spark):
+    def files():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {blocks.apply(i).getName() for i in range(blocks.size())}
+
+    before = files()
+    done = checkpointed(spark.range(1000).repartition(4, "id").groupBy("id").count())
+    assert not {f for f in files() - before if f.startswith("shuffle_")} and done.count() == 1000
+
+
 def test_texts_that_repeat_themselves(spark):
     once = " ".join(WORDS[:16])
     frame = spark.createDataFrame([(1, once, "a"), (2, " ".join([once] * 3), "a"), (3, " ".join([once] * 400), "a"), (4, " ".join(WORDS[8:]), "a")], "id bigint, text string, title string")
