@@ -271,14 +271,11 @@ def resolve_labels(labels: DataFrame, label: str, places: DataFrame, countries:
     parts = units.select("label", "unit_no", F.posexplode(F.split("unit", r"[,()（）、]+")).alias("a", "part"))
     parts = parts.select("label", "unit_no", "a", denies("part").alias("denied"), F.posexplode(F.split("part", r"[:>]+|\s+[-–—]+\s+")).alias("b", "piece"))
     segments = parts.select("label", "unit_no", "a", "b", "denied", denies("piece").alias("denied_here"), F.posexplode(F.split("piece", r"\s+(?:or|and|&|\+)\s+")).alias("c", "segment"))
-    norm = folded_segment(F.col("segment"))
-    words = rf"(?:{REMOTE})"
-    core = F.trim(F.regexp_replace(F.regexp_replace(norm, rf"^{words}\b(?: (?:in|from|within|across|only|based in|the))*", ""), rf"\b{words}$", ""))
-    core = F.trim(F.regexp_replace(F.regexp_replace(core, "^(?:based in|located in|office in|in|the) ", ""), r" (?:office|offices|hq|campus|site|hub)$|^\d{3,7} | \d{1,7}$", ""))
+    norm, core, remote = _framed(F.col("segment"))
     upper = F.transform(F.regexp_extract_all(F.regexp_replace("segment", r"\.", ""), F.lit(r"(?<![\p{L}\p{N}])([A-Z]{2,3})(?![\p{L}\p{N}])"), 1), F.lower)
     town = F.trim("segment")
     place = ["label", "unit_no", "a", "b", "c", "denied", "denied_here"]
-    segments = segments.select(*place, norm.alias("whole"), core.alias("core"), norm.rlike(rf"\b{words}\b").alias("remote"), upper.alias("upper"), town.rlike(_TOWN).alias("town"), (town != "").alias("filled"))
+    segments = segments.select(*place, norm.alias("whole"), core.alias("core"), remote.alias("remote"), upper.alias("upper"), town.rlike(_TOWN).alias("town"), (town != "").alias("filled"))
     segments = segments.withColumn("scope", F.col("core").isin(SCOPES) | (F.col("whole").isin(SCOPES) & (F.col("core") != "")))
     pairs = location_dimension(places, countries)
     wide = pairs.groupBy("norm").agg(*[F.first(F.when(F.col("kind") == k, F.col("codes")), ignorenulls=True).alias(k) for k in ("country", "region", "place", "iso")])
@@ -297,6 +294,64 @@ def resolve_labels(labels: DataFrame, label: str, places: DataFrame, countries:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     told = gathered.mapInArrow(read, "label string, countries array<string>, " + ", ".join(f"{f} boolean" for f in flags))
+    return _reasoned(told)
+
+
+def resolve_whole_segments(labels: DataFrame, label: str, places: DataFrame, countries: DataFrame) -> DataFrame:
+    """The columns of :func:`resolve_labels`, of every distinct label, where a segment counts only as a whole.
+
+    Per unit (cut at ``;``, ``|``, ``/`` and line breaks): explicit country names stand as they are. A place means the countries of
+    its name, narrowed by the region codes beside it, without any by the explicit countries; several left make the place ambiguous,
+    none a conflict. An explicit country wins over a conflict. A denied unit contributes nothing. Words inside a segment are not
+    read: ``alpha germany`` is ``unknown``.
+
+    Null and blank labels are ``empty``. Labels of any length and repeated labels are fine; extra columns are ignored. The
+    dimension is broadcast only when its counted rows fit, else the segments are shuffled.
+    """
+    distinct = labels.select(F.col(label).alias("label")).distinct()
+    units = distinct.select("label", F.posexplode(F.split(F.coalesce("label", F.lit("")), r"[;|\n]+|\s*/\s*")).alias("unit_no", "unit"))
+    units = units.withColumn("denied", F.col("unit").rlike(DENIED))
+    segments = units.select("label", "unit_no", "denied", F.explode(F.split("unit", r"[,()（）、:>]+|\s+[-–—]+\s+|\s+(?:or|and|&|\+)\s+")).alias("segment"))
+    whole, core, remote = _framed(F.col("segment"))
+    segments = segments.select("label", "unit_no", "denied", whole.alias("whole"), core.alias("norm"), remote.alias("remote"))
+    segments = segments.withColumn("scope", F.col("norm").isin(SCOPES) | F.col("whole").isin(SCOPES))
+    pairs = location_dimension(places, countries)
+    wide = pairs.groupBy("norm").agg(*[F.first(F.when(F.col("kind") == k, F.col("codes")), ignorenulls=True).alias(k) for k in ("country", "region", "place")])
+    found = sized_join(segments, wide, ["norm"], "left", spread_by="label")
+    nothing = F.array().cast("array<string>")
+    unnamed = F.col("country").isNull()
+    by_unit = found.groupBy("label", "unit_no").agg(
+        F.bool_or("denied").alias("denied"), F.bool_or("remote").alias("remote"), F.bool_or("scope").alias("scope"), F.bool_or(F.col("norm") != "").alias("said"),
+        F.array_distinct(F.flatten(F.collect_list("country"))).alias("explicit"), F.array_distinct(F.flatten(F.collect_list(F.when(unnamed, F.col("region"))))).alias("near"),
+        F.collect_set(F.when(unnamed, F.col("place"))).alias("spots"),
+    )
+    by_unit = by_unit.withColumn("hints", F.when(F.size("near") > 0, F.col("near")).otherwise(F.col("explicit")))
+    by_unit = by_unit.withColumn("kept", F.transform("spots", lambda s: F.when(F.size("hints") > 0, F.array_intersect(s, F.col("hints"))).otherwise(s)))
+    clash = ~F.col("denied") & F.exists("kept", lambda s: F.size(s) == 0)
+    by_unit = by_unit.select(
+        "label", "remote", "scope", "said", clash.alias("clash"), (~F.col("denied") & F.exists("kept", lambda s: F.size(s) > 1)).alias("open"),
+        F.when(F.col("denied"), nothing).otherwise(F.col("explicit")).alias("explicit"),
+        F.when(F.col("denied") | clash, nothing).otherwise(F.flatten(F.filter("kept", lambda s: F.size(s) == 1))).alias("read"),
+    )
+    stated = F.size("explicit") > 0
+    told = by_unit.groupBy("label").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.concat("explicit", "read"))))).alias("countries"), F.bool_or(stated).alias("e"), F.bool_or(stated & F.col("remote")).alias("er"),
+        F.bool_or(F.col("clash") & ~stated).alias("conflict"), F.bool_or("open").alias("ambiguous"), F.bool_or("remote").alias("is_remote"), F.bool_or("scope").alias("scope"), F.bool_or("said").alias("said"),
+    )
+    return _reasoned(told)
+
+
+def _framed(segment: Column) -> tuple[Column, Column, Column]:
+    """A folded segment, its core without words for remote work and offices, and whether it states remote work."""
+    norm = folded_segment(segment)
+    words = rf"(?:{REMOTE})"
+    core = F.trim(F.regexp_replace(F.regexp_replace(norm, rf"^{words}\b(?: (?:in|from|within|across|only|based in|the))*", ""), rf"\b{words}$", ""))
+    core = F.trim(F.regexp_replace(F.regexp_replace(core, "^(?:based in|located in|office in|in|the) ", ""), r" (?:office|offices|hq|campus|site|hub)$|^\d{3,7} | \d{1,7}$", ""))
+    return norm, core, norm.rlike(rf"\b{words}\b")
+
+
+def _reasoned(told: DataFrame) -> DataFrame:
+    """Labels with what was read in them, their method and the reason why none was found."""
     has = F.size("countries") > 0
     method = F.when(has & F.col("er"), "remote-country").when(has & F.col("e"), "explicit-label").when(has, "gazetteer")
     reason = (

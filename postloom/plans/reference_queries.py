@@ -483,11 +483,23 @@ FROM g"""
 
 @query(_label_sql())
 def label_countries(spark: SparkSession, folder: str) -> DataFrame:
-    """The countries of every distinct location label."""
+    """The countries of every distinct location label, whose segments are looked up as a whole."""
+    from postloom.operators.locations import resolve_whole_segments
+
+    return _label_countries(spark, folder, resolve_whole_segments)
+
+
+@query()
+def label_countries_inside(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the words inside segments, anchored codes and exclusions; SQL has no left-to-right reading."""
     from postloom.operators.locations import resolve_labels
 
+    return _label_countries(spark, folder, resolve_labels)
+
+
+def _label_countries(spark: SparkSession, folder: str, resolve) -> DataFrame:
     labels = _jobs(spark, folder).select(F.explode("locations").alias("label"))
-    found = resolve_labels(labels, "label", table(spark, folder, "places"), table(spark, folder, "countries"))
+    found = resolve(labels, "label", table(spark, folder, "places"), table(spark, folder, "countries"))
     return found.withColumn("countries", F.array_join("countries", "|"))
 
 

@@ -2,12 +2,14 @@
 
 from datetime import datetime
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from postloom.functions import classify, employment, hashing, text
 from postloom.operators import corpus, metrics, scheduling
 from postloom.operators.locations import resolve_labels
+from postloom.plans import reference_queries
 from postloom.sources import adapters
 from postloom.sources.boards import board_url, description_block, unexpected_paging, with_pages
 
@@ -212,6 +214,33 @@ def test_label_countries(spark):
         assert (r.countries, r.method, r.unresolved_reason) == (lands, method, reason), label[:40] if label else label
 
 
+WHOLE = [
+    ("Alpha, Twin", "DE", "gazetteer", None), ("alpha germany", "", None, "unknown"), ("Twin, BY", "DE", "gazetteer", None), ("Alpha, TX", "", None, "conflict"), ("Alpha, Germany", "DE", "explicit-label", None),
+    ("not in Germany", "", None, "unknown"), ("Germany; not in US", "DE", "explicit-label", None), ("Remote - US / Twin", "US", "remote-country", None), ("", "", None, "empty"), (None, "", None, "empty"), ("東京都港区", "", None, "unknown"),
+]
+
+
+def test_label_countries_query_against_its_sql(spark, tmp_path):
+    places = [("Alpha", None, "BY", "DE"), ("Twin", None, "BY", "DE"), ("Twin", None, "TX", "US"), ("Tokyo", "東京都", "TK", "JP")]
+    spark.createDataFrame(places, "name string, alt_name string, region_code string, country_code string").write.parquet(f"{tmp_path}/places.parquet")
+    lands = [("DE", "DEU", "Germany", ["Deutschland"]), ("US", "USA", "United States", None), ("JP", "JPN", "Japan", ["日本"])]
+    spark.createDataFrame(lands, "country_code string, iso3_code string, name string, other_names array<string>").write.parquet(f"{tmp_path}/countries.parquet")
+    labels = [x[0] for x in WHOLE] + [x[0] for x in LABELS] + [x[0] for x in SCANNED]
+    spark.createDataFrame([(i, [x, x]) for i, x in enumerate(labels)], "job_id bigint, locations array<string>").write.parquet(f"{tmp_path}/source_jobs.parquet")
+    con = duckdb.connect()
+    for name in ("places", "countries", "source_jobs"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    found = reference_queries.QUERIES["label_countries"](spark, str(tmp_path))
+    names = ["label", "countries", "method", "ambiguous", "conflict", "is_remote", "unresolved_reason"]
+    want = con.sql(f"SELECT {', '.join(names)} FROM ({reference_queries.ORACLES['label_countries']})").fetchall()
+    got = [tuple(r) for r in found.select(names).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    told = {r[0]: (r[1], r[2], r[6]) for r in got}
+    assert {x[0]: told[x[0]] for x in WHOLE} == {x[0]: x[1:] for x in WHOLE}
+    inside = {r.label: r.countries for r in reference_queries.QUERIES["label_countries_inside"](spark, str(tmp_path)).collect()}
+    assert (inside["alpha germany"], inside["東京都港区"]) == ("DE", "JP") and len(inside) == len(told)
+
+
 SCANNED = [
     ("alpha germany", ["DE"], "explicit-label", None), ("Twin Germany", ["DE"], "explicit-label", None), ("Old Alpha Works", ["DE"], "gazetteer", None), ("New Alpha Hills", ["US"], "gazetteer", None),
     ("東京都港区", ["JP"], "gazetteer", None), ("Alpha; Germany (not Twin)", ["DE"], "explicit-label", None), ("Germany, US; not in Germany", ["US"], "explicit-label", None), ("Alpha; outside Germany", [], None, "unknown"),
